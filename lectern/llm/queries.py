@@ -5,17 +5,54 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import table
+from . import language, reading, subjects
 from .budget import token_budget
 from .packing import pack
 from .tokens import with_counts, with_ids
 
 
+def _languages(spark: SparkSession, sf: str) -> language.LanguageModel:
+    return language.fit_languages(table(spark, sf, "videos"), table(spark, sf, "languages"), table(spark, sf, "review_labels"))
+
+
+def _subjects(spark: SparkSession, sf: str) -> DataFrame:
+    videos, reviews = table(spark, sf, "videos"), table(spark, sf, "review_labels")
+    model = subjects.fit_reviewed(videos, reviews, table(spark, sf, "subjects"), _languages(spark, sf))
+    return subjects.video_subjects(videos, model)
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _subjects(spark, sf).select("video_id", "subject_code")
+
+
+def p2_composition(spark: SparkSession, sf: str) -> DataFrame:
+    """Videos of each subject, and the sum of the shares of their sentences."""
+    return _subjects(spark, sf).groupBy("subject_code").agg(
+        F.count(F.lit(1)).alias("n_videos"), F.count("share").alias("n_by_transcript"), F.round(F.sum("share"), 3).alias("share_sum")
+    )
+
+
 def p3_token_budget(spark: SparkSession, sf: str) -> DataFrame:
     return token_budget(table(spark, sf, "videos"), "video_id", "transcript", ["university", "lang", "license_risk"])
 
 
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    videos = table(spark, sf, "videos")
+    return reading.reading_levels(videos, reading.fit_graded(videos, table(spark, sf, "review_labels"), _languages(spark, sf)))
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return language.wrong_labels(table(spark, sf, "videos"), table(spark, sf, "languages"), table(spark, sf, "review_labels"))
+
+
+def p5_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """Every counted segment with its language and a confidence."""
+    return language.labelled_segments(table(spark, sf, "videos"), table(spark, sf, "languages"), table(spark, sf, "review_labels"))
+
+
 def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
     return with_ids(table(spark, sf, "documents"), "text", ["doc_id"])
 
@@ -35,7 +72,12 @@ def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "p2_found": p2_found,
+        "p2_composition": p2_composition,
         "p3_token_budget": p3_token_budget,
+        "p4_found": p4_found,
+        "p5_found": p5_found,
+        "p5_segments": p5_segments,
         "p7_ids": p7_ids,
         "p8_containers": p8_containers,
     }

@@ -126,7 +126,8 @@ def fit_subjects(texts: list[str], labels: list[set[str]], subjects: list[str],
         here = lang == k
         held = factor(doc[here], (rest % width)[here], count[here].astype(float), seeded, width)
         each = held[:n_sub]
-        weight = each / np.maximum(each.sum(1, keepdims=True), 1.0) * each.sum() / n_sub
+        alike = each.sum() / n_sub
+        weight = each / (each.sum(1, keepdims=True) + 0.3 * alike + 1e-9) * 1.3 * alike
         share = (weight / (weight.sum(0) + held[n_sub] + RARE)).T
         shares[np.arange(width) * n_lang + k] = np.where(share >= CLEAR, share, 0)
     return SubjectModel(subjects, languages, terms, shares)
