@@ -8,12 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import language, reading, subjects
+from . import language, reading, spam, subjects
 from .budget import token_budget
+from .near_duplicates import Duplicates
 from .packing import pack
 from .tokens import with_counts, with_ids
 
 
+#: Likeness from which on two videos are near-duplicates.
+LIKENESS = 0.6
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return Duplicates(table(spark, sf, "videos"), LIKENESS).pairs()
+
+
+def p1_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """One row a video with its class of exact copies, its number of links and its group."""
+    return Duplicates(table(spark, sf, "videos"), LIKENESS).groups()
+
+
 def _languages(spark: SparkSession, sf: str) -> language.LanguageModel:
     return language.fit_languages(table(spark, sf, "videos"), table(spark, sf, "languages"), table(spark, sf, "review_labels"))
 
@@ -70,8 +84,15 @@ def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
     return packed
 
 
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    scored = spam.score_documents(table(spark, sf, "documents"), table(spark, sf, "doc_reviews"))
+    return scored.where(F.col("spam_share") > spam.SHARE).select("doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "p1_found": p1_found,
+        "p1_groups": p1_groups,
         "p2_found": p2_found,
         "p2_composition": p2_composition,
         "p3_token_budget": p3_token_budget,
@@ -80,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p5_segments": p5_segments,
         "p7_ids": p7_ids,
         "p8_containers": p8_containers,
+        "p9_found": p9_found,
     }
 
 
