@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.skew import heavy_keys, per_key
 from ..session import table
+from . import catalog, oracle
 
 #: A university that this share of all rows carries counts as heavy.
 HEAVY_SHARE = 0.04
@@ -26,9 +27,14 @@ def p6_per_university(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p6_found": p6_found, "p6_per_university": p6_per_university}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    **catalog.QUERIES,
+    "p6_found": p6_found,
+    "p6_per_university": p6_per_university,
+}
 
 ORACLE: dict[str, str] = {
+    **oracle.ORACLE,
     "p6_found": """
         SELECT university FROM videos WHERE university IS NOT NULL AND university <> '' GROUP BY university
         HAVING count(*) >= 0.04 * (SELECT count(*) FROM videos)""",
