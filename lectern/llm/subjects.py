@@ -121,7 +121,7 @@ def fit_subjects(texts: list[str], labels: list[set[str]], subjects: list[str],
         seeded[k, at] = 1 / max(1, len(at))
     # How a term divides over the components of its language. Beforehand the subjects are equally
     # likely, and together as likely as they are in the sample.
-    shares = np.zeros((width * n_lang, n_sub), np.float32)
+    shares = np.zeros((max(width, 1) * n_lang, n_sub), np.float32)
     for k in range(n_lang):
         here = lang == k
         held = factor(doc[here], (rest % width)[here], count[here].astype(float), seeded, width)

@@ -14,8 +14,10 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .automaton import DEFAULT_DIR, Automaton, load, splitter
@@ -205,12 +207,8 @@ def with_counts(
 
 def decode_udf(tokenizer: str = "byte_bpe_50k", directory: str = DEFAULT_DIR):
     """A pandas UDF from lists of ids back to text."""
-    import pandas as pd
-    from pyspark.sql import functions as F
-
-    @F.pandas_udf("string")
     def decode(lists: pd.Series) -> pd.Series:
         automaton = load(directory, tokenizer)
         return lists.map(lambda ids: None if ids is None else automaton.decode(ids))
 
-    return decode
+    return F.pandas_udf(decode, "string")
