@@ -24,6 +24,10 @@ from .words import WordTable, sums
 #: At most so many reviewed rows, and so many others, are fitted on.
 FIT_ROWS = 6000
 UPDATES = 40
+#: A subject starts at terms that are so many times as frequent in its documents as in all.
+MARKED = 1.5
+#: So much of the labelled documents that have a term must be of its subject.
+TYPICAL = 0.45
 #: A term speaks for a subject that holds so much of it; below, it is common speech.
 CLEAR = 0.5
 #: Counts added to the background of every term, so that a term seen once says nothing.
@@ -64,12 +68,20 @@ def factor(
     doc: np.ndarray, word: np.ndarray, count: np.ndarray, membership: np.ndarray, terms: int, updates: int = UPDATES
 ) -> np.ndarray:
     """The counts of the matrix as the factors divide them: components x terms. ``doc, word,
-    count``: the matrix as triples, by document; ``membership``: documents x components as seeded."""
+    count``: the matrix as triples, by document; ``membership``: documents x components as seeded.
+
+    The last component is the background and starts at the frequencies of all documents. The others
+    start at the terms that are markedly more frequent with them, so common words begin near zero
+    there, where multiplicative updates leave them."""
     w = membership / np.maximum(membership.sum(1, keepdims=True), 1e-12)
     start = np.zeros((w.shape[1], terms))
     for k in range(w.shape[1]):
         start[k] = np.bincount(word, count * w[doc, k], terms)
-    h = (start / np.maximum(start.sum(1, keepdims=True), 1e-12)) + 1e-9
+    h = start / np.maximum(start.sum(1, keepdims=True), 1e-12)
+    common = np.bincount(word, count, terms) / max(count.sum(), 1e-12)
+    h[:-1] *= np.clip(h[:-1] / np.maximum(common, 1e-12) - MARKED, 0, 1)
+    h[-1] = common
+    h += 1e-9
     h /= h.sum(1, keepdims=True)
     starts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
     present = doc[starts] if len(doc) else np.zeros(0, np.int64)
@@ -115,10 +127,13 @@ def fit_subjects(texts: list[str], labels: list[set[str]], subjects: list[str],
     lang = rest // width
     seeded = np.zeros((len(texts), n_sub + 1))
     seeded[:, n_sub] = 1
+    truth = np.zeros((len(texts), n_sub))
     for k, label in enumerate(labels):
         at = [subjects.index(s) for s in label if s in subjects]
         seeded[k, :n_sub] = 0.01 if at else 1 / n_sub
         seeded[k, at] = 1 / max(1, len(at))
+        truth[k, at] = 1
+    known = truth.any(1)
     # How a term divides over the components of its language. Beforehand the subjects are equally
     # likely, and together as likely as they are in the sample.
     shares = np.zeros((max(width, 1) * n_lang, n_sub), np.float32)
@@ -128,8 +143,13 @@ def fit_subjects(texts: list[str], labels: list[set[str]], subjects: list[str],
         each = held[:n_sub]
         alike = each.sum() / n_sub
         weight = each / (each.sum(1, keepdims=True) + 0.3 * alike + 1e-9) * 1.3 * alike
+        # of the documents that have the term, the part that is of each subject
+        labelled = here & known[doc]
+        holders = np.bincount((rest % width)[labelled], minlength=width)
+        of = np.stack([np.bincount((rest % width)[labelled], truth[doc[labelled], j], width) for j in range(n_sub)], 1)
+        typical = of >= TYPICAL * np.maximum(holders, 1)[:, None]
         share = (weight / (weight.sum(0) + held[n_sub] + RARE)).T
-        shares[np.arange(width) * n_lang + k] = np.where(share >= CLEAR, share, 0)
+        shares[np.arange(width) * n_lang + k] = np.where((share >= CLEAR) & typical, share, 0)
     return SubjectModel(subjects, languages, terms, shares)
 
 
