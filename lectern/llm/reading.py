@@ -22,7 +22,7 @@ from .subjects import term
 from .words import WordTable, sums
 
 #: At most so many graded rows are fitted on.
-FIT_ROWS = 10_000
+FIT_ROWS = 5000
 LEVELS = (1, 2, 3, 4)
 #: Buckets of the corpus counts; the table has this size whatever the corpus.
 COUNT_BUCKETS = 1 << 16
