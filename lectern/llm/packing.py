@@ -70,9 +70,9 @@ def pack(items: DataFrame, item: str, size: str, capacities: dict[int, int]) ->
     of size 0 in container 1. Each row is an item, also where an ``item`` value is repeated or null.
     Containers are numbered from 1 for each target. No items, no rows.
 
-    Only pieces (key, length) are shuffled. Class counts, bounded by the classes of the targets, go
-    to the driver; the class table, the plan and the offsets of the parts have that bound too and
-    are broadcast.
+    Only pieces (key, length) are shuffled, once, by the keys that rank them and join the offsets.
+    Class counts, bounded by the classes of the targets, go to the driver; the class table and the
+    plan have that bound too and are broadcast.
     """
     spark = items.sparkSession
     bounds = {t: class_bounds(c) for t, c in capacities.items()}
@@ -104,7 +104,7 @@ def pack(items: DataFrame, item: str, size: str, capacities: dict[int, int]) ->
     order = Window.partitionBy("target_id", "__class", "__part").orderBy(item, "piece_no")
     ranked = (
         solid.withColumn("__row", F.row_number().over(order))
-        .join(F.broadcast(offsets), ["target_id", "__class", "__part"])
+        .join(offsets, ["target_id", "__class", "__part"])
         .withColumn("__rank", F.col("__before") + F.col("__row") - 1)
     )
     filled = ranked.join(F.broadcast(planned), ["target_id", "__class"]).where("__rank >= __from and __rank < __to")
