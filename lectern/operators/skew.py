@@ -9,6 +9,7 @@ what straddles a boundary is stitched from the first and last secondary value of
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -91,4 +92,4 @@ def heavy_keys(df: DataFrame, key: str, second: str, value: str, share: float) -
     """The non-null, non-empty keys that at least ``share`` of all rows of ``df`` carry."""
     each = per_key(df, key, second, value)
     total = each.agg(F.sum("n_rows").alias("all_rows"))
-    return each.join(F.broadcast(total), F.col("n_rows") >= F.col("all_rows") * F.lit(share)).where("key is not null and key <> ''")
+    return each.join(F.broadcast(total), F.col("n_rows") >= F.col("all_rows") * F.lit(Decimal(str(share)))).where("key is not null and key <> ''")
