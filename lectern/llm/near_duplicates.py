@@ -32,6 +32,8 @@ LEVELS = 3
 BRANCHES = 3
 #: Nodes of at most so many classes are compared in one task; larger ones branch, at last in blocks of this size.
 LEAF = 64
+#: Classes of at most so many exact copies are expanded into all their pairs.
+EXPANDED = 500
 #: Standard deviations by which the sketch may fall short of the likeness.
 SLACK = 4.0
 
@@ -152,10 +154,12 @@ class Duplicates:
         rest = [c for c in signed.columns if c != "video_id"]
         one = signed.groupBy("video_id").agg(F.min(F.struct(*rest)).alias("s")).select("video_id", "s.*")
         each = cut(one)
-        heads = each.groupBy("c0", "c1").agg(F.min(F.struct("video_id", *rest[2:])).alias("s")).select("c0", "c1", "s.*")
+        first = F.min(F.struct("video_id", *rest[2:])).alias("s")
+        heads = each.groupBy("c0", "c1").agg(first, F.count(F.lit(1)).alias("copies")).select("c0", "c1", "copies", "s.*")
         self.classes = cut(heads.withColumn("doc", F.monotonically_increasing_id()))
-        #: doc (number of the class), video_id
-        self.members = each.select("c0", "c1", "video_id").join(self.classes.select("c0", "c1", "doc"), ["c0", "c1"]).select("doc", "video_id")
+        #: doc (number of the class), head (its first video), copies (its videos), video_id
+        named = self.classes.select("c0", "c1", "doc", F.col("video_id").alias("head"), "copies")
+        self.members = each.select("c0", "c1", "video_id").join(named, ["c0", "c1"]).drop("c0", "c1")
 
     def _may(self, a: str, b: str) -> Column:
         """Whether sketch and sizes of two rows allow the likeness."""
@@ -220,12 +224,20 @@ class Duplicates:
         return scored.where(F.col("likeness") >= self.likeness).groupBy("a", "b").agg(F.max("likeness").alias("likeness"))
 
     def pairs(self) -> DataFrame:
-        """``video_id_a, video_id_b`` (a < b by code point) of all videos, copies among them."""
-        a, b = self.members.toDF("a", "va"), self.members.toDF("b", "vb")
+        """``video_id_a, video_id_b`` (a < b by code point) of all videos, copies among them.
+
+        A class of more than ``EXPANDED`` exact copies stands in pairs with its first video, and each
+        other copy in one pair with that, so no link is lost and the result stays in proportion.
+        """
+        shown = self.members.where((F.col("copies") <= EXPANDED) | (F.col("video_id") == F.col("head"))).select("doc", "video_id")
+        a, b = shown.toDF("a", "va"), shown.toDF("b", "vb")
         across = self.class_pairs().join(a, "a").join(b, "b")
         across = across.select(F.least("va", "vb").alias("video_id_a"), F.greatest("va", "vb").alias("video_id_b"))
+        several = self.members.where(F.col("copies").between(2, EXPANDED)).select("doc", "video_id")
+        a, b = several.toDF("a", "va"), several.toDF("b", "vb")
         within = a.join(b, (F.col("a") == F.col("b")) & (F.col("va") < F.col("vb"))).select(F.col("va").alias("video_id_a"), F.col("vb").alias("video_id_b"))
-        return across.unionByName(within)
+        many = self.members.where((F.col("copies") > EXPANDED) & (F.col("video_id") != F.col("head")))
+        return across.unionByName(within).unionByName(many.select(F.col("head").alias("video_id_a"), F.col("video_id").alias("video_id_b")))
 
     def groups(self) -> DataFrame:
         """One row a video: ``video_id``, ``class_id`` (the first video of its exact copies),
@@ -244,5 +256,5 @@ class Duplicates:
             label = jumped.select("doc", "class_id", F.col("next").alias("group_id"))
             if not moved:
                 break
-        rows = self.members.join(label, "doc").join(degree, "doc", "left")
+        rows = self.members.select("doc", "video_id").join(label, "doc").join(degree, "doc", "left")
         return rows.select("video_id", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "group_id")

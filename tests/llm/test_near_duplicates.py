@@ -69,3 +69,11 @@ def test_edge_cases(spark):
 @pytest.mark.parametrize("what", ["pairs", "groups"])
 def test_empty(spark, what):
     assert getattr(nd.Duplicates(frame(spark, []), LIKENESS), what)().collect() == []
+
+
+def test_many_copies_stay_in_proportion(spark, monkeypatch):
+    monkeypatch.setattr(nd, "EXPANDED", 3)
+    text = " ".join(f"w{i}" for i in range(80))
+    rows = [(f"v{i:02d}", "T", text) for i in range(40)] + [("z", "T", text + " more")]
+    got = [(r[0], r[1]) for r in nd.Duplicates(frame(spark, rows), LIKENESS).pairs().collect()]
+    assert sorted(got) == [("v00", f"v{i:02d}") for i in range(1, 40)] + [("v00", "z")]
