@@ -41,6 +41,9 @@ RUN_ON = 30
 #: A title names a thing of a subject if its terms give the subject so much.
 TITLE_MASS = 0.6
 
+#: Languages of a title whose scores, by root of its words, differ by less are both likely.
+UNSURE = 2.5
+
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -207,13 +210,26 @@ def document_shares(model: SubjectModel, words: WordTable, texts: list[str]) ->
 
 
 def title_subjects(model: SubjectModel, words: WordTable, titles: list[str]) -> np.ndarray:
-    """Whether the part of a title up to the first ``|`` has a term of each subject."""
+    """Whether the part of a title up to the first ``|`` has a term of each subject. A title too
+    short to tell its language, without a term in the likeliest, is read in the next likely one."""
     heads = [t.split("|", 1)[0].split() for t in titles]
     sizes = np.array([len(h) for h in heads], np.int64)
-    out = np.zeros((len(titles), len(model.subjects)), bool)
-    if sizes.sum():
-        line, _, share, _ = mixtures(model, words, heads)
-        np.logical_or.at(out, line, share >= TITLE_MASS)
+    out, n_lang = np.zeros((len(titles), len(model.subjects)), bool), len(model.languages.codes)
+    if not sizes.sum():
+        return out
+    rows = words.rows([w for h in heads for w in h])
+    features, title = words.features[rows], np.repeat(np.arange(len(heads)), sizes)
+    score = sums(features[:, :n_lang], sizes) / np.sqrt(np.maximum(sizes, 1))[:, None]
+    order = np.argsort(-score, axis=1, kind="stable")
+    number = features[:, n_lang + 1].astype(np.int64)
+    for place in range(min(2, n_lang)):
+        spoken = order[:, place]
+        at = np.arange(len(heads))
+        near = ~out.any(1) & (score[at, order[:, 0]] - score[at, spoken] < UNSURE)
+        share = np.where((number >= 0)[:, None], model.shares[np.maximum(number, 0) * n_lang + spoken[title]], 0)
+        hit = np.zeros_like(out)
+        np.logical_or.at(hit, title, share >= TITLE_MASS)
+        out |= hit & near[:, None]
     return out
 
 
