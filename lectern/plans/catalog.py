@@ -17,11 +17,10 @@ from ..session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-#: The present time of the queries, so that results can be compared.
-NOW = F.lit("2026-01-31 00:00:00").cast("timestamp_ntz")
 SEED = "42"
 #: Rows a shard: small here so that the test data fill several.
 SHARD_ROWS = 500
+
 QUOTA = {"green": 6, "first_short": 3, "first_long": 1, "other_short": 3, "other_long": 1}
 
 
