@@ -30,8 +30,8 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 
 
 def one_video(spark: SparkSession, sf: str) -> DataFrame:
-    """Videos with each ``video_id`` once: the row of the smallest id."""
-    return merging.first_by_key(table(spark, sf, "videos"), "video_id", "id")
+    """Videos with each ``video_id`` once: the row of the smallest id. Texts are left out."""
+    return merging.first_by_key(table(spark, sf, "videos").select("id", "video_id", "status", "duration_seconds", "priority"), "video_id", "id")
 
 
 # Scans, projections and scalar functions
@@ -76,10 +76,9 @@ def speed_ratio(spark, sf):
 
 @query
 def segments_join(spark, sf):
-    lines = feeds.segments(table(spark, sf, "videos"), "id", "transcript")
-    ordered = F.array_sort(F.collect_list(F.struct("position", "segment")))
-    joined = lines.groupBy("id").agg(ordered.alias("s"), F.count(F.lit(1)).alias("n_segments"))
-    return joined.select("id", "n_segments", F.md5(F.trim(F.array_join("s.segment", " "))).alias("text_md5"))
+    lines = F.split("transcript", "\n")
+    rows = table(spark, sf, "videos").where("transcript is not null")
+    return rows.select("id", F.size(lines).cast("bigint").alias("n_segments"), F.md5(F.trim(F.array_join(lines, " "))).alias("text_md5"))
 
 
 @query
@@ -112,6 +111,12 @@ def quality_filter(spark, sf):
     return table(spark, sf, "videos").where(R.is_teaching(F.col("title"), F.col("duration_seconds"))).select("id", "video_id")
 
 
+@query
+def text_segments(spark, sf):
+    lines = feeds.segments(table(spark, sf, "videos"), "id", "transcript")
+    return lines.select("id", "position", F.length("segment").alias("n_chars"))
+
+
 @query
 def duration_floor(spark, sf):
     return table(spark, sf, "videos").where(R.known_long(F.col("duration_seconds"))).select("id", "duration_seconds")
@@ -220,9 +225,9 @@ def admit_safe(spark, sf):
 
 
 @query
-def admit_wide(spark, sf):
+def admit_boot10m(spark, sf):
     boost = P.words(P.BOOST, P.BRAND_BOOST, P.GRADUATE_BOOST, P.FOREIGN_BOOST)
-    return _admitted(spark, sf, R.known_long(F.col("duration")), P.words(P.SHORT_REJECT, P.WIDE_REJECT), 8, 5, boost, "wide")
+    return _admitted(spark, sf, R.known_long(F.col("duration")), P.words(P.SHORT_REJECT, P.WIDE_REJECT), 8, 5, boost, "boot10m")
 
 
 @query

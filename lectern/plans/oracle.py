@@ -122,6 +122,9 @@ ORACLE: dict[str, str] = {
     "license_classify": f"""SELECT id, CASE WHEN {SAYS} OR {FREE} THEN 'green' END AS risk,
         CASE WHEN {SAYS} THEN 'creativeCommon' WHEN {FREE} THEN 'cc_in_description' ELSE coalesce(nullif(youtube_license, ''), 'youtube') END AS note FROM videos""",
     "quality_filter": f"SELECT id, video_id FROM videos WHERE {KEEP}",
+    "text_segments": """SELECT id, cast(k - 1 AS int) AS position, length(s[k]) AS n_chars FROM (
+        SELECT id, string_split(transcript, chr(10)) AS s, unnest(range(1, len(string_split(transcript, chr(10))) + 1)) AS k
+        FROM videos WHERE transcript IS NOT NULL) v""",
     "duration_floor": f"SELECT id, duration_seconds FROM videos WHERE {LONG}",
     "duration_strict": "SELECT id, duration_seconds FROM videos WHERE duration_seconds > 900",
     "duration_range": "SELECT id, duration_seconds FROM videos WHERE duration_seconds > 120 AND duration_seconds < 36000",
@@ -143,7 +146,7 @@ ORACLE: dict[str, str] = {
     "admit_channel": _admitted(_NULL, [P.SHORT_REJECT], 8, 5, [P.BOOST, P.FOREIGN_BOOST], "channel"),
     "admit_cc": _admitted(_KNOWN, [P.SHORT_REJECT, P.RELIGIOUS], 9, 7, [P.BOOST], "cc"),
     "admit_safe": _admitted(_KNOWN, [P.SHORT_REJECT, P.RELIGIOUS, P.CONSPIRACY], 8, 5, [P.BOOST, P.BRAND_BOOST, P.FOREIGN_BOOST], "safe"),
-    "admit_wide": _admitted(_KNOWN, [P.SHORT_REJECT, P.WIDE_REJECT], 8, 5, [P.BOOST, P.BRAND_BOOST, P.GRADUATE_BOOST, P.FOREIGN_BOOST], "wide"),
+    "admit_boot10m": _admitted(_KNOWN, [P.SHORT_REJECT, P.WIDE_REJECT], 8, 5, [P.BOOST, P.BRAND_BOOST, P.GRADUATE_BOOST, P.FOREIGN_BOOST], "boot10m"),
     "legacy_import": f"""WITH {ENTRIES}, r AS (
         SELECT video_id, arrival, substring(coalesce(title, 'Unknown'), 1, 200) AS title, CASE WHEN duration IS NULL OR duration = 0 THEN 900.0 ELSE duration END AS duration,
                row_number() OVER (PARTITION BY video_id ORDER BY arrival) AS rn

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ranking import sharded
+
 
 def write_json_shards(df: DataFrame, path: str, shard: str = "shard") -> None:
     """One folder a shard of JSON lines, non-ASCII characters as they are. Rows go to the writers by
@@ -17,3 +19,12 @@ def card(stats: dict, title: str) -> str:
     """A short text card of one row of figures."""
     lines = [f"# {title}", ""] + [f"- {name.replace('_', ' ')}: {value}" for name, value in stats.items()]
     return "\n".join(lines) + "\n"
+
+
+def export_dataset(df: DataFrame, path: str, order: list[Column], size: int, title: str) -> dict:
+    """Write ``df`` in shards of ``size`` rows in order under ``path``/data and a card of its figures
+    under ``path``/card; return the figures. An empty table writes a card only."""
+    write_json_shards(sharded(df, order, size), f"{path}/data")
+    stats = df.agg(F.count(F.lit(1)).alias("n_rows"), F.ceil(F.count(F.lit(1)) / size).alias("n_files")).first().asDict()
+    df.sparkSession.createDataFrame([(card(stats, title),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/card")
+    return stats

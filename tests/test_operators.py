@@ -86,6 +86,24 @@ def test_sinks(spark, tmp_path):
     assert sinks.card({"n_rows": 3}, "Data") == "# Data\n\n- n rows: 3\n"
 
 
+def test_export_dataset(spark, tmp_path):
+    df = spark.range(10).selectExpr("id", "concat('t', id) as title", "if(id = 3, null, id) as x")
+    assert sinks.export_dataset(df, str(tmp_path / "out"), [F.desc("id")], 4, "Data") == {"n_rows": 10, "n_files": 3}
+    rows = [json.loads(x) for f in sorted((tmp_path / "out/data").rglob("part-*")) for x in f.read_text().splitlines()]
+    assert sorted(r["id"] for r in rows) == list(range(10))
+    first = [json.loads(x)["id"] for f in (tmp_path / "out/data/shard=0").glob("part-*") for x in f.read_text().splitlines()]
+    assert sorted(first) == [6, 7, 8, 9]
+    assert "n files: 3" in next((tmp_path / "out/card").glob("part-*")).read_text()
+
+
+def test_running_over_a_hot_group(spark):
+    rows = [("hot", i, i % 7) for i in range(900)] + [(None, i, 1) for i in range(20)] + [("c", 0, None), ("c", 1, 4)]
+    df = spark.createDataFrame(rows, "k string, t int, v long").repartition(6)
+    got = {(r["k"], r["t"]): (r["seen"], r["running_total"]) for r in summaries.running(df, "k", ["t"], "v").collect()}
+    assert got["hot", 899] == (900, sum(i % 7 for i in range(900))) and got["hot", 450] == (451, sum(i % 7 for i in range(451)))
+    assert got[None, 19] == (20, 20) and got["c", 0] == (1, None) and got["c", 1] == (2, 4) and len(got) == len(rows)
+
+
 def test_missing_columns_and_visited(spark, tmp_path):
     (tmp_path / "seen.txt").write_text("a b\n\n  b c \n")
     assert sorted(r["word"] for r in feeds.visited(spark, str(tmp_path)).collect()) == ["a", "b", "c"]
