@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,8 +26,24 @@ def build_session(app: str = "lectern", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once a context, so that Python workers can import it
+    wherever they were started."""
+    context = spark.sparkContext
+    if getattr(context, "_lectern_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    if root.is_dir():  # not when this runs from such an archive itself
+        folder = Path(tempfile.mkdtemp(prefix="lectern-code-"))
+        shutil.copytree(root, folder / "code" / root.name, ignore=shutil.ignore_patterns("__pycache__"))
+        context.addPyFile(shutil.make_archive(str(folder / "lectern"), "zip", folder / "code"))
+        shutil.rmtree(folder / "code")
+    context._lectern_shipped = True
+
+
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     """One Parquet table of a data directory."""
+    ship(spark)
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
