@@ -30,12 +30,14 @@ def token_budget(
     The groups are counted over (group, hash), so no group or text is ever gathered in one task.
     """
     slim = df.select(df[item].alias("__item"), digest(df[text]).alias("__hash"), *by)
+    # rows without a text are spread over the join by their group
+    nowhere = F.unhex(F.md5(F.concat_ws("|", *(F.col(c).cast("string") for c in by))))
     items = slim.groupBy("__item", *by).agg(F.min("__hash").alias("__hash"))
     copies = items.groupBy("__hash", *by).agg(F.count(F.lit(1)).alias("__copies"))
     texts = df.where(df[text].isNotNull()).select(digest(df[text]).alias("__hash"), df[text].alias("__whole")).distinct()
     counted = with_counts(texts, "__whole", ["__hash"], "__n", tokenizer, directory)
     return (
-        copies.join(counted, "__hash", "left")
+        copies.withColumn("__hash", F.coalesce("__hash", nowhere)).join(counted, "__hash", "left")
         .groupBy(*by)
         .agg(
             F.sum("__copies").alias("n_videos"),

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import WordTable, sums
+from .words import WordTable, slices, sums
 
 ORDERS = (1, 2, 3, 4)
 BUCKETS = 1 << 15
@@ -178,7 +178,7 @@ def segments(videos: DataFrame, model: LanguageModel, names: dict[str, str]) ->
         model, names = shared.value
         words = WordTable(model.featurize)
         code = np.array([*model.codes, None], object)
-        for batch in batches:
+        for batch in slices(batches):
             ids, numbers, texts, says = [], [], [], []
             columns = (batch.column(c).to_pylist() for c in ("video_id", "title", "transcript", "lang"))
             for video, title, transcript, lang in zip(*columns):

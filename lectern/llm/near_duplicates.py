@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 from .language import USABLE_WORDS
-from .words import WordTable
+from .words import WordTable, slices
 
 WORDS = 5
 TREES = 20
@@ -111,29 +111,28 @@ SIGNED = "video_id string, c0 long, c1 long, n int, tokens array<int>, s0 long,
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = WordTable(word_hashes)
-    for whole in batches:
-        for start in range(0, whole.num_rows, 2000):
-            ids, texts = _usable(whole.slice(start, 2000))
-            flat, sizes = shingles(table, texts) if texts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            some = np.flatnonzero(sizes)
-            if not len(some):
-                continue
-            s = signatures(flat, sizes[some])
-            tokens = pa.ListArray.from_arrays(
-                pa.array(np.arange(len(some) + 1) * COORDINATES, pa.int32()), pa.array(s["tokens"].ravel().view(np.int32))
-            )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([ids[k] for k in some], pa.string()), *(pa.array(s[c].view(np.int64)) for c in ("c0", "c1")),
-                    pa.array(sizes[some], pa.int32()), tokens, *(pa.array(s[c].view(np.int64)) for c in ("s0", "s1", "m0", "m1")),
-                ],
-                ["video_id", "c0", "c1", "n", "tokens", "s0", "s1", "m0", "m1"],
-            )
+    for batch in slices(batches):
+        ids, texts = _usable(batch)
+        flat, sizes = shingles(table, texts) if texts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        some = np.flatnonzero(sizes)
+        if not len(some):
+            continue
+        s = signatures(flat, sizes[some])
+        tokens = pa.ListArray.from_arrays(
+            pa.array(np.arange(len(some) + 1) * COORDINATES, pa.int32()), pa.array(s["tokens"].ravel().view(np.int32))
+        )
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([ids[k] for k in some], pa.string()), *(pa.array(s[c].view(np.int64)) for c in ("c0", "c1")),
+                pa.array(sizes[some], pa.int32()), tokens, *(pa.array(s[c].view(np.int64)) for c in ("s0", "s1", "m0", "m1")),
+            ],
+            ["video_id", "c0", "c1", "n", "tokens", "s0", "s1", "m0", "m1"],
+        )
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = WordTable(word_hashes)
-    for batch in batches:
+    for batch in slices(batches):
         texts = [f"{a or ''}\n{b}" for a, b in zip(batch.column("title").to_pylist(), batch.column("transcript").to_pylist())]
         flat, sizes = shingles(table, texts)
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(flat.view(np.int64)))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .language import USABLE_WORDS, LanguageModel
 from .subjects import term
-from .words import WordTable, sums
+from .words import WordTable, slices, sums
 
 #: At most so many graded rows are fitted on.
 FIT_ROWS = 5000
@@ -59,7 +59,7 @@ def corpus_counts(df: DataFrame, text: str) -> np.ndarray:
         # words without letters share the bucket after the last
         words = WordTable(lambda new: np.array([bucket(t) if (t := term(w)) else COUNT_BUCKETS for w in new], np.int64))
         total = np.zeros(COUNT_BUCKETS + 1, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             rows = words.rows([w for t in batch.column(0).to_pylist() for w in t.split()])
             total += np.bincount(words.features[rows], minlength=COUNT_BUCKETS + 1)
         at = np.flatnonzero(total[:COUNT_BUCKETS])
@@ -271,7 +271,7 @@ def reading_levels(videos: DataFrame, model: ReadingModel) -> DataFrame:
     def grade(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         words = WordTable(model.reader.featurize)
-        for batch in batches:
+        for batch in slices(batches):
             ids, texts = [], []
             for video, text in zip(batch.column("video_id").to_pylist(), batch.column("transcript").to_pylist()):
                 if text and len(text.split()) >= USABLE_WORDS:

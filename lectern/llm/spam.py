@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .words import WordTable, sums
+from .words import WordTable, slices, sums
 
 LANGUAGES = ("en", "de", "fr", "es")
 FEATURES = ("links", "marks", "separators", "digits", "repeated_pairs", "repeated_words", "entropy", "function_words", "commas")
@@ -108,15 +108,15 @@ class Blocks:
         common = f[np.arange(len(f)), 5 + language[text]] > 0
 
         word, fresh = rows, ~np.repeat(np.array(again, bool), sizes)
-        key, inverse, count = np.unique((block << 21) | word, return_inverse=True, return_counts=True)
-        n = size[key >> 21]
-        entropy = np.bincount(key >> 21, -(count / n) * np.log(count / n), n_block) / np.log(np.maximum(size, 3))
-        in_text, back = np.unique((owner[key >> 21] << 21) | (key & 0x1FFFFF), return_inverse=True)
+        key, inverse, count = np.unique((block << 32) | word, return_inverse=True, return_counts=True)
+        n = size[key >> 32]
+        entropy = np.bincount(key >> 32, -(count / n) * np.log(count / n), n_block) / np.log(np.maximum(size, 3))
+        in_text, back = np.unique((owner[key >> 32] << 32) | (key & 0xFFFFFFFF), return_inverse=True)
         often = np.bincount(back[inverse], fresh, len(in_text))[back][inverse]
         repeated = (often >= np.maximum(4, 0.015 * total[text])) & ~common
         pair = np.full(len(word), -1, np.int64)
         same = text[1:] == text[:-1]
-        pair[:-1][same] = (word[:-1][same] << 21) | word[1:][same]
+        pair[:-1][same] = (word[:-1][same] << 31) | word[1:][same]
         # pairs of different texts of one batch may share a slot of the table by chance, one in a billion
         slot = (pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(30)
         _, where = np.unique(text.astype(np.uint64) << np.uint64(40) ^ slot, return_inverse=True)
@@ -149,13 +149,11 @@ def blocks(documents: DataFrame) -> DataFrame:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Blocks()
-        for whole in batches:
-            for start in range(0, whole.num_rows, 500):
-                batch = whole.slice(start, 500)
-                owner, language, size, x = own.of(batch.column("text").to_pylist(), batch.column("lang").to_pylist())
-                ids = batch.column("doc_id").take(pa.array(owner, pa.int64()))
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(owner) + 1) * len(FEATURES), pa.int32()), pa.array(x.astype(np.float32).ravel()))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(language, pa.int32()), pa.array(size, pa.int32()), lists], ["doc_id", "language", "words", "x"])
+        for batch in slices(batches, 500):
+            owner, language, size, x = own.of(batch.column("text").to_pylist(), batch.column("lang").to_pylist())
+            ids = batch.column("doc_id").take(pa.array(owner, pa.int64()))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(owner) + 1) * len(FEATURES), pa.int32()), pa.array(x.astype(np.float32).ravel()))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(language, pa.int32()), pa.array(size, pa.int32()), lists], ["doc_id", "language", "words", "x"])
 
     source = documents.where("text is not null and text <> '' and doc_id is not null").select("doc_id", "text", "lang")
     return source.mapInArrow(describe, BLOCK)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .language import USABLE_WORDS, LanguageModel
-from .words import WordTable, sums
+from .words import WordTable, slices, sums
 
 #: At most so many reviewed rows, and so many others, are fitted on.
 FIT_ROWS = 6000
@@ -258,7 +258,7 @@ def video_subjects(videos: DataFrame, model: SubjectModel) -> DataFrame:
         model = shared.value
         words = WordTable(model.featurize)
         names = np.array(model.subjects, object)
-        for batch in batches:
+        for batch in slices(batches):
             ids = np.array(batch.column("video_id").to_pylist(), object)
             titles = batch.column("title").to_pylist()
             texts = [t or "" for t in batch.column("transcript").to_pylist()]

@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 #: Distinct words kept in one worker before the table is begun anew.
 KEPT_WORDS = 400_000
 
 
+#: Rows worked on at once in a worker, so that its memory follows these and not Spark's batches.
+SLICE_ROWS = 1000
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 class _Numbers(dict):
     def __init__(self):
         super().__init__()
