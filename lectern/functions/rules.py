@@ -18,12 +18,12 @@ def falsy_default(*columns: Column) -> Column:
 
 def known_long(duration: Column, least: int = MIN_SECONDS) -> Column:
     """At least ``least`` seconds, or unknown (null or 0)."""
-    return F.coalesce(duration >= least, F.lit(True)) | F.coalesce(duration == 0, F.lit(False))
+    return (duration >= least) | duration.isNull() | (duration == 0)
 
 
 def null_or_long(duration: Column, least: int = MIN_SECONDS) -> Column:
     """At least ``least`` seconds, or null; 0 fails."""
-    return F.coalesce(duration >= least, F.lit(True))
+    return (duration >= least) | duration.isNull()
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -33,7 +33,7 @@ def matches(text: Column, pattern: str) -> Column:
 
 def is_teaching(title: Column, duration: Column) -> Column:
     """Long enough or of unknown length, with a title that no reject pattern matches."""
-    return known_long(duration) & F.coalesce(title != "", F.lit(False)) & ~matches(title, P.matcher(P.REJECT))
+    return known_long(duration) & title.isNotNull() & (title != "") & ~matches(title, P.matcher(P.REJECT))
 
 
 def tier(title: Column) -> Column:

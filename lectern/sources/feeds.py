@@ -18,8 +18,11 @@ def with_missing(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def _parsed(df: DataFrame, text: str, schema: str) -> DataFrame:
+    """``df`` with ``__r``, the record of each text that is whole JSON. It is generated, so that a
+    text is parsed once however many fields are used."""
     record = F.from_json(F.col(text), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    return df.withColumn("__r", record).where("__r is not null and __r._corrupt is null")
+    whole = F.filter(F.array(record), lambda r: r.isNotNull() & r["_corrupt"].isNull())
+    return df.select("*", F.explode(whole).alias("__r"))
 
 
 def entries(raw: DataFrame) -> DataFrame:
