@@ -47,6 +47,13 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan in as many partitions as there are cores, if its files give fewer than half of that.
+    Only for what reads files directly; an input in proportion to the cluster is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder the cluster names in ``spark.checkpoint.dir``; only where none is set
     (local tests) a temporary one is made."""
