@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table
+from ..session import spread, table
 from . import language, reading, spam, subjects
 from .budget import token_budget
 from .near_duplicates import Duplicates
@@ -15,17 +15,22 @@ from .packing import pack
 from .tokens import with_counts, with_ids
 
 
+def _scan(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table for Python workers, on all cores also where the table is one small file."""
+    return spread(table(spark, sf, name).select(*columns))
+
+
 #: Likeness from which on two videos are near-duplicates.
 LIKENESS = 0.6
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    return Duplicates(table(spark, sf, "videos"), LIKENESS).pairs()
+    return Duplicates(_scan(spark, sf, "videos", "video_id", "title", "transcript"), LIKENESS).pairs()
 
 
 def p1_groups(spark: SparkSession, sf: str) -> DataFrame:
     """One row a video with its class of exact copies, its number of links and its group."""
-    return Duplicates(table(spark, sf, "videos"), LIKENESS).groups()
+    return Duplicates(_scan(spark, sf, "videos", "video_id", "title", "transcript"), LIKENESS).groups()
 
 
 def _languages(spark: SparkSession, sf: str) -> language.LanguageModel:
@@ -35,7 +40,7 @@ def _languages(spark: SparkSession, sf: str) -> language.LanguageModel:
 def _subjects(spark: SparkSession, sf: str) -> DataFrame:
     videos, reviews = table(spark, sf, "videos"), table(spark, sf, "review_labels")
     model = subjects.fit_reviewed(videos, reviews, table(spark, sf, "subjects"), _languages(spark, sf))
-    return subjects.video_subjects(videos, model)
+    return subjects.video_subjects(_scan(spark, sf, "videos", "video_id", "title", "transcript"), model)
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -54,26 +59,28 @@ def p3_token_budget(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
-    videos = table(spark, sf, "videos")
+    videos = _scan(spark, sf, "videos", "video_id", "transcript")
     return reading.reading_levels(videos, reading.fit_graded(videos, table(spark, sf, "review_labels"), _languages(spark, sf)))
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    return language.wrong_labels(table(spark, sf, "videos"), table(spark, sf, "languages"), table(spark, sf, "review_labels"))
+    videos = _scan(spark, sf, "videos", "video_id", "title", "transcript", "lang")
+    return language.wrong_labels(videos, table(spark, sf, "languages"), table(spark, sf, "review_labels"))
 
 
 def p5_segments(spark: SparkSession, sf: str) -> DataFrame:
     """Every counted segment with its language and a confidence."""
-    return language.labelled_segments(table(spark, sf, "videos"), table(spark, sf, "languages"), table(spark, sf, "review_labels"))
+    videos = _scan(spark, sf, "videos", "video_id", "title", "transcript", "lang")
+    return language.labelled_segments(videos, table(spark, sf, "languages"), table(spark, sf, "review_labels"))
 
 
 def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
-    return with_ids(table(spark, sf, "documents"), "text", ["doc_id"])
+    return with_ids(_scan(spark, sf, "documents", "doc_id", "text"), "text", ["doc_id"])
 
 
 def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
     """The documents in containers of every target. Targets of one tokenizer share one count."""
-    documents, targets = table(spark, sf, "documents"), {}
+    documents, targets = _scan(spark, sf, "documents", "doc_id", "text"), {}
     for row in table(spark, sf, "pack_targets").collect():  # a fixed table of three rows
         targets.setdefault(row["tokenizer"], {})[row["target_id"]] = row["capacity"]
     packed = None
@@ -85,7 +92,7 @@ def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
-    scored = spam.score_documents(table(spark, sf, "documents"), table(spark, sf, "doc_reviews"))
+    scored = spam.score_documents(_scan(spark, sf, "documents", "doc_id", "text", "lang"), table(spark, sf, "doc_reviews"))
     return scored.where(F.col("spam_share") > spam.SHARE).select("doc_id")
 
 
