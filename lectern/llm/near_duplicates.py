@@ -28,6 +28,7 @@ WORDS = 5
 TREES = 20
 #: Each tree has two root tokens of its own, so trees fail independently.
 COORDINATES = 2 * TREES
+#: Of a minwise token 16 bits are kept: two make a root, and chance meetings in one stay rare.
 LEVELS = 3
 BRANCHES = 3
 #: Nodes of at most so many classes are compared in one task; larger ones branch, at last in blocks of this size.
@@ -80,10 +81,10 @@ def shingles(table: WordTable, texts: list[str]) -> tuple[np.ndarray, np.ndarray
 def signatures(flat: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
     """For texts with one shingle at least: hashes of the set, minwise tokens, sketch bits and bins."""
     starts = np.cumsum(sizes) - sizes
-    tokens = np.empty((len(sizes), COORDINATES), np.uint32)
+    tokens = np.empty((len(sizes), COORDINATES), np.uint16)
     for k in range(COORDINATES):
         seeded = (flat ^ np.uint64((k + 1) * 0xD6E8FEB86659FD93 & _M)) * (_B + np.uint64(2 * k))
-        tokens[:, k] = np.minimum.reduceat(seeded ^ (seeded >> np.uint64(29)), starts) >> np.uint64(32)
+        tokens[:, k] = np.minimum.reduceat(seeded ^ (seeded >> np.uint64(29)), starts) & np.uint64(0xFFFF)
     bins = flat >> np.uint64(57)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     lead = np.ones(len(flat), bool)
@@ -106,7 +107,7 @@ def _usable(batch: pa.RecordBatch) -> tuple[list[str], list[str]]:
     return ids, texts
 
 
-SIGNED = "video_id string, c0 long, c1 long, n int, tokens array<int>, s0 long, s1 long, m0 long, m1 long"
+SIGNED = "video_id string, c0 long, c1 long, n int, tokens array<smallint>, s0 long, s1 long, m0 long, m1 long"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +120,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         s = signatures(flat, sizes[some])
         tokens = pa.ListArray.from_arrays(
-            pa.array(np.arange(len(some) + 1) * COORDINATES, pa.int32()), pa.array(s["tokens"].ravel().view(np.int32))
+            pa.array(np.arange(len(some) + 1) * COORDINATES, pa.int32()), pa.array(s["tokens"].ravel().view(np.int16))
         )
         yield pa.RecordBatch.from_arrays(
             [
