@@ -27,6 +27,8 @@ FIT_ROWS = 4000
 ROUNDS = 3
 #: A text of fewer words is not usable; shorter segments and titles are not counted.
 USABLE_WORDS, SEGMENT_WORDS, TITLE_WORDS = 50, 8, 6
+#: The ISO code of no known language.
+UNDETERMINED = "und"
 
 #: Names that the table of languages does not list (own names, bibliographic codes).
 OTHER_NAMES = {
@@ -162,42 +164,45 @@ def fit_languages(videos: DataFrame, languages: DataFrame, reviews: DataFrame |
     return LanguageModel.fit(lines, np.array(labels, np.int64), codes)
 
 
-def segments(videos: DataFrame, model: LanguageModel, names: dict[str, str]) -> DataFrame:
-    """``video_id, seg_no, lang_code, confidence, stated`` of every counted segment.
+def segments(videos: DataFrame, model: LanguageModel, names: dict[str, str], every: bool = False) -> DataFrame:
+    """``video_id, seg_no, lang_code, confidence, stated, counted`` of every counted segment, or with
+    ``every`` of every title and line that is not blank.
 
-    Segment 0 is the title up to the first ``|``, counted from six words on; segments 1, 2, ... are
-    the lines of a transcript of at least 50 words, counted from eight words on. ``stated`` is the
-    language the row's label states, or null. Null and empty titles and transcripts have no segment;
-    a segment without letters has a null language and confidence 0. Repeated rows of one video give
-    each segment once. Rows are only mapped; the shuffle that removes repeats carries found segments.
+    Segment 0 is the title up to the first ``|`` (the whole title if nothing stands before it),
+    counted from six words on; segments 1, 2, ... are the lines of a transcript, counted from eight
+    words on if the transcript has at least 50. ``stated`` is the language the row's label states, or
+    null. Null and blank titles and lines have no segment; a segment without letters has a null
+    language and confidence 0. Repeated rows of one video give each segment again. Rows are only
+    mapped.
     """
     shared = videos.sparkSession.sparkContext.broadcast((model, names))
-    schema = "video_id string, seg_no int, lang_code string, confidence double, stated string"
+    schema = "video_id string, seg_no int, lang_code string, confidence double, stated string, counted boolean"
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, names = shared.value
         words = WordTable(model.featurize)
         code = np.array([*model.codes, None], object)
         for batch in slices(batches):
-            ids, numbers, texts, says = [], [], [], []
+            ids, numbers, texts, says, counts = [], [], [], [], []
             columns = (batch.column(c).to_pylist() for c in ("video_id", "title", "transcript", "lang"))
             for video, title, transcript, lang in zip(*columns):
                 own = []
                 if title:
                     head = title.split("|", 1)[0]
-                    if len(head.split()) >= TITLE_WORDS:
-                        own.append((0, head))
+                    own.append((0, head if head.strip() else title, len(head.split()) >= TITLE_WORDS))
                 if transcript:
                     lines = transcript.split("\n")
                     sizes = [len(line.split()) for line in lines]
-                    if sum(sizes) >= USABLE_WORDS:
-                        own += [(k, line) for k, (line, n) in enumerate(zip(lines, sizes), 1) if n >= SEGMENT_WORDS]
+                    usable = sum(sizes) >= USABLE_WORDS
+                    own += [(k, line, usable and n >= SEGMENT_WORDS) for k, (line, n) in enumerate(zip(lines, sizes), 1)]
+                own = [x for x in own if x[2] or every and x[1].strip()]
                 if own:
                     ids += [video] * len(own)
                     says += [stated(lang, names)] * len(own)
-                    for number, text in own:
+                    for number, text, counted in own:
                         numbers.append(number)
                         texts.append(text)
+                        counts.append(counted)
             found, confidence = model.score(words, texts) if texts else (np.zeros(0, np.int64), np.zeros(0))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -206,15 +211,16 @@ def segments(videos: DataFrame, model: LanguageModel, names: dict[str, str]) ->
                     pa.array(code[found].tolist(), pa.string()),
                     pa.array(confidence, pa.float64()),
                     pa.array(says, pa.string()),
+                    pa.array(counts, pa.bool_()),
                 ],
-                ["video_id", "seg_no", "lang_code", "confidence", "stated"],
+                ["video_id", "seg_no", "lang_code", "confidence", "stated", "counted"],
             )
 
     return videos.select("video_id", "title", "transcript", "lang").mapInArrow(label, schema)
 
 
 def wrong_labels(videos: DataFrame, languages: DataFrame, reviews: DataFrame | None = None) -> DataFrame:
-    """``video_id, seg_no, lang_code`` of the segments in a language other than the stated one, or
+    """``video_id, seg_no, lang_code`` of the counted segments in a language other than the stated one, or
     of all segments where none is stated; each segment once."""
     model = fit_languages(videos, languages, reviews)
     names = label_names(languages.toPandas())
@@ -223,8 +229,9 @@ def wrong_labels(videos: DataFrame, languages: DataFrame, reviews: DataFrame | N
 
 
 def labelled_segments(videos: DataFrame, languages: DataFrame, reviews: DataFrame | None = None) -> DataFrame:
-    """Every counted segment once, with its language and confidence."""
+    """Every title and line that is not blank once, with its language and confidence, and whether it
+    is counted. One without letters has the language ``und`` (undetermined) and confidence 0."""
     model = fit_languages(videos, languages, reviews)
-    found = segments(videos, model, label_names(languages.toPandas()))
-    best = F.max_by(F.struct("lang_code", "confidence", "stated"), F.struct("confidence", "lang_code"))
-    return found.groupBy("video_id", "seg_no").agg(best.alias("b")).select("video_id", "seg_no", "b.*")
+    found = segments(videos, model, label_names(languages.toPandas()), every=True)
+    best = F.max_by(F.struct("lang_code", "confidence", "stated", "counted"), F.struct("confidence", "lang_code"))
+    return found.groupBy("video_id", "seg_no").agg(best.alias("b")).select("video_id", "seg_no", "b.*").fillna(UNDETERMINED, ["lang_code"])

@@ -69,7 +69,7 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_segments(spark: SparkSession, sf: str) -> DataFrame:
-    """Every counted segment with its language and a confidence."""
+    """Every title and line that is not blank with its language, a confidence and whether p5_found counts it."""
     videos = _scan(spark, sf, "videos", "video_id", "title", "transcript", "lang")
     return language.labelled_segments(videos, table(spark, sf, "languages"), table(spark, sf, "review_labels"))
 

@@ -44,6 +44,26 @@ def test_segments(spark, model):
     assert segments(spark, model, []) == {}
 
 
+def test_every_title_and_line(spark, model):
+    de, en = SENTENCES["de"], SENTENCES["en"]
+    rows = [("a", "the old dog", f"{en}\n\nder alte hund\n \n12 34", "en"), ("b", " | le chat et la maison", None, None), ("c", " ", "\n\n", "en"), ("d", None, (en + "\n") * 5 + "le chat", "en"), ("e", "the cat and the old house also", "der hund", "en")]
+    df = spark.createDataFrame(rows, "video_id string, title string, transcript string, lang string")
+    got = {(r["video_id"], r["seg_no"]): r for r in L.segments(df, model, L.label_names(LANGUAGES), every=True).collect()}
+    assert {k: r["lang_code"] for k, r in got.items() if k[0] != "d"} == {("a", 0): "en", ("a", 1): "en", ("a", 3): "de", ("a", 5): None, ("b", 0): "fr", ("e", 0): "en", ("e", 1): "de"}
+    assert {k for k in got if k[0] == "d"} == {("d", n) for n in range(1, 7)} and got["d", 6]["lang_code"] == "fr"
+    assert {k for k, r in got.items() if r["counted"]} == {("d", n) for n in range(1, 6)} | {("e", 0)}
+    assert all((r["confidence"] > 1 / 3) == (r["lang_code"] is not None) for r in got.values())
+
+
+def test_segments_query_holds_every_title_and_line(spark, data):
+    rows = queries.p5_segments(spark, data).toPandas()
+    videos = table(spark, data, "videos").select("video_id", "title", "transcript").toPandas()
+    want = {(v, 0) for v, t in zip(videos["video_id"], videos["title"]) if t and t.strip()}
+    want |= {(v, k) for v, t in zip(videos["video_id"], videos["transcript"]) if t for k, line in enumerate(t.split("\n"), 1) if line.strip()}
+    assert set(zip(rows["video_id"], rows["seg_no"])) == want and len(rows) == len(want)
+    assert rows[["lang_code", "confidence", "counted"]].notna().all(axis=None) and ((rows["lang_code"] == "und") == (rows["confidence"] == 0)).all()
+
+
 def test_repeated_rows_give_a_segment_once(spark, data):
     videos = table(spark, data, "videos")
     args = (table(spark, data, "languages"), table(spark, data, "review_labels"))
