@@ -53,17 +53,16 @@ def word_hashes(words: list[str]) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
 
 
-def shingles(table: WordTable, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Flat distinct shingle hashes of each text, sorted within a text, and how many each has."""
+def shingles(table: WordTable, texts: list[str], whole: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Flat distinct shingle hashes of each text, sorted within a text, and how many each has. A text
+    of fewer words than a shingle has none, or with ``whole`` one of all its words."""
     split = [_RUN.findall(t.lower()) for t in texts]
     sizes = np.array([len(s) for s in split], np.int64)
     rows = table.rows([w for s in split for w in s])
     word = table.features[rows]
-    total = len(word) - WORDS + 1
-    if total <= 0:
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+    total = max(0, len(word) - WORDS + 1)
     rolling = np.zeros(total, np.uint64)
-    for k in range(WORDS):
+    for k in range(WORDS if total else 0):
         rolling = rolling * _A + word[k : k + total]
     each = np.maximum(sizes - WORDS + 1, 0)
     starts = np.cumsum(sizes) - sizes
@@ -75,7 +74,12 @@ def shingles(table: WordTable, texts: list[str]) -> tuple[np.ndarray, np.ndarray
     owner = np.repeat(np.arange(len(texts)), each)
     first = np.ones(len(flat), bool)
     first[1:] = (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])
-    return flat[first], np.bincount(owner[first], minlength=len(texts))
+    flat, each = flat[first], np.bincount(owner[first], minlength=len(texts))
+    if whole and len(bare := np.flatnonzero(each == 0)):
+        own = word_hashes([" ".join(split[k]) or " ".join(texts[k].split()) for k in bare])
+        flat = np.insert(flat, (np.cumsum(each) - each)[bare], _mix(own))
+        each[bare] = 1
+    return flat, each
 
 
 def signatures(flat: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
@@ -98,10 +102,10 @@ def signatures(flat: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _usable(batch: pa.RecordBatch) -> tuple[list[str], list[str]]:
+def _usable(batch: pa.RecordBatch, words: int) -> tuple[list[str], list[str]]:
     ids, texts = [], []
     for video, title, text in zip(*(batch.column(c).to_pylist() for c in ("video_id", "title", "transcript"))):
-        if video is not None and text and len(text.split()) >= USABLE_WORDS:
+        if video is not None and text and len(text.split()) >= words:
             ids.append(video)
             texts.append(f"{title or ''}\n{text}")
     return ids, texts
@@ -110,11 +114,11 @@ def _usable(batch: pa.RecordBatch) -> tuple[list[str], list[str]]:
 SIGNED = "video_id string, c0 long, c1 long, n int, tokens array<smallint>, s0 long, s1 long, m0 long, m1 long"
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sign(batches: Iterator[pa.RecordBatch], least: int, whole: bool) -> Iterator[pa.RecordBatch]:
     table = WordTable(word_hashes)
     for batch in slices(batches):
-        ids, texts = _usable(batch)
-        flat, sizes = shingles(table, texts) if texts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        ids, texts = _usable(batch, least)
+        flat, sizes = shingles(table, texts, whole) if texts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         some = np.flatnonzero(sizes)
         if not len(some):
             continue
@@ -131,11 +135,11 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
     table = WordTable(word_hashes)
     for batch in slices(batches):
         texts = [f"{a or ''}\n{b}" for a, b in zip(batch.column("title").to_pylist(), batch.column("transcript").to_pylist())]
-        flat, sizes = shingles(table, texts)
+        flat, sizes = shingles(table, texts, whole)
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(flat.view(np.int64)))
         yield pa.RecordBatch.from_arrays([batch.column("doc"), lists], ["doc", "grams"])
 
@@ -143,14 +147,16 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Duplicates:
     """The join over one table of ``video_id, title, transcript``.
 
-    Only rows with an id and a transcript of at least 50 words and one shingle take part; a null
-    title counts as empty. If rows of one video differ in text, the one of the smallest set hash
+    Only rows with an id and a transcript of at least 50 words and one shingle take part, or with
+    ``every`` those with an id and a transcript that is not blank, where a text too short for a
+    shingle is like exact copies only; a null title counts as empty. If rows of one video differ in text, the one of the smallest set hash
     counts. An empty table gives no pairs. Other columns are pruned.
     """
 
-    def __init__(self, videos: DataFrame, likeness: float):
-        self.videos, self.likeness = videos.select("video_id", "title", "transcript"), likeness
-        signed = self.videos.where("length(transcript) > 0").mapInArrow(_sign, SIGNED)
+    def __init__(self, videos: DataFrame, likeness: float, every: bool = False):
+        self.videos, self.likeness, self.every = videos.select("video_id", "title", "transcript"), likeness, every
+        least = 1 if every else USABLE_WORDS
+        signed = self.videos.where("length(transcript) > 0").mapInArrow(lambda batches: _sign(batches, least, every), SIGNED)
         rest = [c for c in signed.columns if c != "video_id"]
         one = signed.groupBy("video_id").agg(F.min(F.struct(*rest)).alias("s")).select("video_id", "s.*")
         each = cut(one)
@@ -216,7 +222,8 @@ class Duplicates:
         docs = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
         heads = self.classes.select("doc", "video_id", "c0", "c1").join(docs, "doc", "left_semi").select("doc", "video_id")
         texts = self.videos.where("length(transcript) > 0").join(heads.hint("shuffle_hash"), "video_id")
-        grams = texts.select("doc", "title", "transcript").mapInArrow(_sets, "doc long, grams array<long>")
+        whole = self.every
+        grams = texts.select("doc", "title", "transcript").mapInArrow(lambda batches: _sets(batches, whole), "doc long, grams array<long>")
         # A video of rows with different texts has several sets here; the likeness is that of the best.
         left, right = grams.toDF("a", "ga"), grams.toDF("b", "gb")
         shared = pairs.join(left, "a").join(right, "b").select("a", "b", F.size("ga").alias("na"), F.size("gb").alias("nb"), F.size(F.array_intersect("ga", "gb")).alias("both"))
@@ -240,7 +247,7 @@ class Duplicates:
         return across.unionByName(within).unionByName(many.select(F.col("head").alias("video_id_a"), F.col("video_id").alias("video_id_b")))
 
     def groups(self) -> DataFrame:
-        """One row a video: ``video_id``, ``class_id`` (the first video of its exact copies),
+        """One row a video that takes part: ``video_id``, ``class_id`` (the first video of its exact copies),
         ``n_links`` (other classes like it) and ``group_id`` (the first video that links reach)."""
         links = self.class_pairs().select("a", "b")
         both = cut(links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))

@@ -29,8 +29,9 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p1_groups(spark: SparkSession, sf: str) -> DataFrame:
-    """One row a video with its class of exact copies, its number of links and its group."""
-    return Duplicates(_scan(spark, sf, "videos", "video_id", "title", "transcript"), LIKENESS).groups()
+    """One row a video with a transcript, however short, with its class of exact copies, its number of
+    links and its group."""
+    return Duplicates(_scan(spark, sf, "videos", "video_id", "title", "transcript"), LIKENESS, every=True).groups()
 
 
 def _languages(spark: SparkSession, sf: str) -> language.LanguageModel:

@@ -3,6 +3,8 @@ import random
 import pytest
 
 from lectern.llm import near_duplicates as nd
+from lectern.llm import queries
+from lectern.session import table
 
 LIKENESS = 0.6
 
@@ -66,6 +68,23 @@ def test_edge_cases(spark):
     assert groups["a"]["n_links"] == 1 and groups["i"]["n_links"] == 0
 
 
+def test_groups_of_every_transcript(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    short = " ".join(f"s{i}" for i in range(20))
+    rows = [("a", "T", text), ("b", "T", text.upper()), ("c", "T", short), ("d", "t", short + "!"), ("e", "T", short + " more"), ("f", "T", "short"), ("g", None, "t short"), ("h", "U", "short"), ("i", None, "... ..."), ("j", None, "...\n..."), ("k", "", "?"), ("l", "T", None), ("m", "T", ""), ("n", "T", " \n"), (None, "T", short)]
+    df = frame(spark, rows)
+    groups = {r["video_id"]: r for r in nd.Duplicates(df, LIKENESS, every=True).groups().collect()}
+    assert {v: r["class_id"] for v, r in groups.items()} == {"a": "a", "b": "a", "c": "c", "d": "c", "e": "e", "f": "f", "g": "f", "h": "h", "i": "i", "j": "i", "k": "k"}
+    assert {v: r["group_id"] for v, r in groups.items()} == {"a": "a", "b": "a", "c": "c", "d": "c", "e": "c", "f": "f", "g": "f", "h": "h", "i": "i", "j": "i", "k": "k"}
+    assert {v for v, r in groups.items() if r["n_links"]} == {"c", "d", "e"}
+
+
+def test_groups_query_holds_every_video_with_a_transcript(spark, data):
+    got = [r["video_id"] for r in queries.p1_groups(spark, data).collect()]
+    videos = table(spark, data, "videos").select("video_id", "transcript").toPandas()
+    assert sorted(got) == sorted({v for v, t in zip(videos["video_id"], videos["transcript"]) if t and t.strip()})
+
+
 @pytest.mark.parametrize("what", ["pairs", "groups"])
 def test_empty(spark, what):
     assert getattr(nd.Duplicates(frame(spark, []), LIKENESS), what)().collect() == []
