@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,17 +26,22 @@ def one_round(edges: DataFrame, frontier: DataFrame, seen: DataFrame) -> DataFra
     return reached.select(F.col("target").alias("node")).distinct().join(seen.select("node"), "node", "left_anti")
 
 
-def reach(edges: DataFrame, start: DataFrame, rounds: int = 50) -> DataFrame:
-    """``node, depth`` of all that can be reached from ``start`` (depth 0) within ``rounds``.
+#: After so many rounds what is seen is gathered into one copy, so that plans of long chains stay short.
+GATHER = 16
+
+
+def reach(edges: DataFrame, start: DataFrame) -> DataFrame:
+    """``node, depth`` of all that can be reached from ``start`` (depth 0), however far.
 
     Each round is one semi-join with the frontier and one anti-join with what is seen, materialised
     in the shared checkpoint folder; it ends when a round finds nothing.
     """
     edges = cut(edges)
     seen = frontier = cut(start.select("node").distinct().withColumn("depth", F.lit(0)))
-    for depth in range(1, rounds + 1):
+    for depth in count(1):
         frontier = cut(one_round(edges, frontier, seen).withColumn("depth", F.lit(depth)))
         if frontier.isEmpty():
-            break
+            return seen
         seen = seen.unionByName(frontier)
-    return seen
+        if depth % GATHER == 0:
+            seen = cut(seen.repartition("node"))

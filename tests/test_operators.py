@@ -70,6 +70,12 @@ def test_frontier_ends_on_cycles(spark):
     assert frontier.reach(edges, spark.createDataFrame([], "node string")).count() == 0
 
 
+def test_reach_has_no_last_round(spark):
+    edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(53)] + [("n53", "n0")], "source string, target string")
+    got = {r["node"]: r["depth"] for r in frontier.reach(edges, spark.createDataFrame([("n0",)], "node string")).collect()}
+    assert got == {f"n{i}": i for i in range(54)}
+
+
 def test_distribution_and_running(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), ("b", 4)], "k string, v long")
     got = {r["k"]: (r["n"], r["percent"]) for r in summaries.distribution(df, "k").collect()}
