@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,9 @@ from .subjects import term
 from .words import WordTable, slices, sums
 
 #: At most so many graded rows are fitted on.
-FIT_ROWS = 5000
+FIT_ROWS = 10_000
+#: Texts of the sample worked on at once, so that the driver's memory follows these and the vocabulary.
+PART_ROWS = 500
 LEVELS = (1, 2, 3, 4)
 #: Buckets of the corpus counts; the table has this size whatever the corpus.
 COUNT_BUCKETS = 1 << 16
@@ -145,18 +148,22 @@ class Reader:
 
     def grade_terms(self, texts: list[str], levels: np.ndarray, smoothing: float = 1.5) -> None:
         """Learn the mean grade of the texts that have a term, per language, drawn to the middle."""
-        words = WordTable(lambda new: np.column_stack([self.featurize(new), np.arange(len(new))]) if new else np.zeros((0, 3 * len(self.languages.codes) + 6)), kept=1 << 60)
-        text, spoken, rows = self.split(words, texts)
-        names = [term(w) for w in words.numbers]
-        terms: dict[str, int] = {}
-        code = np.array([terms.setdefault(t, len(terms)) if t else -1 for t in names], np.int64)
-        own = code[rows]
-        ok = own >= 0
+        words = WordTable(self.languages.featurize, kept=1 << 60)
         n = len(self.languages.codes)
-        key = np.unique((own[ok] * n + spoken[ok]) * len(texts) + text[ok])
-        at, which = key // len(texts), key % len(texts)
-        seen = np.bincount(at, minlength=len(terms) * n)
-        total = np.bincount(at, levels[which], len(terms) * n)
+        terms: dict[str, int] = {}
+        code, seen, total = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+        for start in range(0, len(texts), PART_ROWS):
+            part = texts[start : start + PART_ROWS]
+            text, spoken, rows = self.split(words, part)
+            new = [terms.setdefault(t, len(terms)) if (t := term(w)) else -1 for w in islice(words.numbers, len(code), None)]
+            code = np.concatenate([code, np.array(new, np.int64)])
+            own = code[rows]
+            ok = own >= 0
+            key = np.unique((own[ok] * n + spoken[ok]) * len(part) + text[ok])
+            at, which = key // len(part), key % len(part)
+            size = len(terms) * n
+            seen = np.pad(seen, (0, size - len(seen))) + np.bincount(at, minlength=size)
+            total = np.pad(total, (0, size - len(total))) + np.bincount(at, levels[start + which], size)
         middle = np.mean(levels) if len(levels) else 2.5
         grade = (total + smoothing * middle) / (seen + smoothing)
         self.terms, self.grades = terms, np.where(seen > 0, grade, np.nan).reshape(-1, n).astype(np.float32)
@@ -222,11 +229,13 @@ def _fit_once(texts: list[str], levels: np.ndarray, languages: LanguageModel, co
         reader = Reader(languages, counts)
         there, here = np.flatnonzero(half != k), np.flatnonzero(half == k)
         reader.grade_terms([texts[i] for i in there], levels[there])
-        if len(here):
-            x, main = reader.features(WordTable(reader.featurize), [texts[i] for i in here])
+        words = WordTable(reader.featurize)
+        for start in range(0, len(here), PART_ROWS):
+            own = here[start : start + PART_ROWS]
+            x, main = reader.features(words, [texts[i] for i in own])
             parts.append(x)
             mains.append(main)
-            order.append(here)
+            order.append(own)
     n = len(languages.codes)
     reader = Reader(languages, counts)
     reader.grade_terms(texts, levels)

@@ -136,3 +136,24 @@ def test_all_queries_are_registered(spark, data):
     for name, query in queries.queries().items():
         assert query(spark, data).columns, name
     assert pd.Series(list(queries.queries())).str.match(r"p[1-9]_").all()
+
+
+def test_ten_thousand_graded_texts_are_fitted_on(spark, monkeypatch):
+    monkeypatch.setattr(reading, "corpus_counts", lambda *_: None)
+    monkeypatch.setattr(reading, "fit_levels", lambda texts, *_: len(texts))
+    ids = spark.range(10_100).select(F.col("id").cast("string").alias("video_id"))
+    videos = ids.select("video_id", F.repeat(F.lit("word "), 50).alias("transcript"))
+    reviews = ids.select("video_id", F.lit("reading_level").alias("aspect"), F.lit("2").alias("label_value"))
+    assert reading.fit_graded(videos, reviews, None) == 10_000
+
+
+def test_grades_in_parts_are_those_of_the_whole(spark, large, languages, monkeypatch):
+    rows = table(spark, large, "videos").where("length(transcript) > 300").orderBy("id").limit(60).toPandas()
+    texts, levels = rows["transcript"].tolist(), np.arange(60) % 4 + 1
+    fitted = []
+    for part in (1000, 7):
+        monkeypatch.setattr(reading, "PART_ROWS", part)
+        fitted.append(reading.fit_levels(texts, levels, languages, np.zeros(reading.COUNT_BUCKETS, np.int64)))
+    whole, parts = fitted
+    assert whole.reader.terms == parts.reader.terms and np.array_equal(whole.reader.grades, parts.reader.grades, equal_nan=True)
+    assert np.allclose(whole.weights, parts.weights) and np.allclose(whole.edges, parts.edges)
