@@ -3,9 +3,10 @@
 For each language the matrix of labelled documents by terms is factored into one anchored component
 a subject and a background component. Memberships start at the labels and the background; all else
 starts near zero, and multiplicative updates in turn of both factors keep small what is not in the
-labels, so each anchored component stays the subject it was seeded with. The factor of
-terms is broadcast; every sentence of every document is then folded in by the same update, which
-directly gives its mixture over subjects.
+labels, so each anchored component stays the subject it was seeded with. From the factor of terms
+and the labels a fixed table of shares is made and broadcast, in which a term counts only for a
+subject that it clearly and typically stands for. Every sentence of every document is scored by
+adding up its terms' shares; no update runs on it.
 """
 
 from __future__ import annotations
