@@ -18,12 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .samples import Sample
 from .words import WordTable, slices, sums
 
 ORDERS = (1, 2, 3, 4)
 BUCKETS = 1 << 15
-#: At most about so many labelled rows are fitted on.
-FIT_ROWS = 4000
+#: At most so many labelled rows are fitted on.
+FIT_ROWS = 6000
 ROUNDS = 3
 #: A text of fewer words is not usable; shorter segments and titles are not counted.
 USABLE_WORDS, SEGMENT_WORDS, TITLE_WORDS = 50, 8, 6
@@ -138,26 +139,16 @@ def stated(label: str | None, names: dict[str, str]) -> str | None:
     return names.get(re.split(r"[-_(,;/ ]", label.strip().lower(), maxsplit=1)[0])
 
 
-def fit_languages(videos: DataFrame, languages: DataFrame, reviews: DataFrame | None, limit: int = FIT_ROWS) -> LanguageModel:
-    """A model from a bounded sample of rows with a transcript and a label that states a language.
-
-    ``reviews`` (``video_id, aspect, label_value``) override the labels. The sample is taken by hash
-    of ``video_id``, so it is the same at every run, and is never larger than twice ``limit``.
-    """
+def fit_languages(sample: Sample, languages: DataFrame, limit: int = FIT_ROWS) -> LanguageModel:
+    """A model from at most ``limit`` transcripts of the sample whose language is stated: by a review of
+    the aspect ``main_language``, or else by the label as it arrived."""
     table = languages.toPandas()  # a fixed table of six rows
     codes, names = sorted(set(table["lang_code"])), label_names(table)
-    usable = videos.where("length(transcript) > 100 and lang is not null").select("video_id", "transcript", "lang")
-    keep = max(1, usable.count() // limit)
-    rows = usable.where(F.pmod(F.xxhash64("video_id"), F.lit(keep)) == 0).limit(2 * limit).toPandas()
-    checked = {}
-    if reviews is not None:
-        own = reviews.where("aspect = 'main_language'").select("video_id", "label_value")
-        own = own.where(F.pmod(F.xxhash64("video_id"), F.lit(keep)) == 0).limit(2 * limit).collect()
-        checked = {r["video_id"]: r["label_value"] for r in own}
+    said = sample.rows.select("video_id", "lang", "hashed").join(sample.labels("main_language"), "video_id", "left").where("label is not null or hashed and lang is not null")
+    rows = sample.take(said.select("video_id", F.coalesce("label", "lang").alias("said")), limit, "if(length(transcript) > 100, transcript, null)")
     lines, labels = [], []
-    for video, text, lang in zip(rows["video_id"], rows["transcript"], rows["lang"]):
-        code = stated(checked.get(video, lang), names)
-        if code:
+    for text, label in zip(rows["text"], rows["said"]):
+        if code := stated(label, names):
             own = [line for line in text.split("\n") if line.strip()]
             lines += own
             labels += [codes.index(code)] * len(own)
@@ -219,19 +210,17 @@ def segments(videos: DataFrame, model: LanguageModel, names: dict[str, str], eve
     return videos.select("video_id", "title", "transcript", "lang").mapInArrow(label, schema)
 
 
-def wrong_labels(videos: DataFrame, languages: DataFrame, reviews: DataFrame | None = None) -> DataFrame:
+def wrong_labels(videos: DataFrame, model: LanguageModel, languages: DataFrame) -> DataFrame:
     """``video_id, seg_no, lang_code`` of the counted segments in a language other than the stated one, or
     of all segments where none is stated; each segment once."""
-    model = fit_languages(videos, languages, reviews)
     names = label_names(languages.toPandas())
     found = segments(videos, model, names).where("lang_code is not null and (stated is null or stated <> lang_code)")
     return found.groupBy("video_id", "seg_no").agg(F.min("lang_code").alias("lang_code"))
 
 
-def labelled_segments(videos: DataFrame, languages: DataFrame, reviews: DataFrame | None = None) -> DataFrame:
+def labelled_segments(videos: DataFrame, model: LanguageModel, languages: DataFrame) -> DataFrame:
     """Every title and line that is not blank once, with its language and confidence, and whether it
     is counted. One without letters has the language ``und`` (undetermined) and confidence 0."""
-    model = fit_languages(videos, languages, reviews)
     found = segments(videos, model, label_names(languages.toPandas()), every=True)
     best = F.max_by(F.struct("lang_code", "confidence", "stated", "counted"), F.struct("confidence", "lang_code"))
     return found.groupBy("video_id", "seg_no").agg(best.alias("b")).select("video_id", "seg_no", "b.*").fillna(UNDETERMINED, ["lang_code"])

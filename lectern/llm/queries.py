@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import spread, table
-from . import language, reading, spam, subjects
+from . import language, reading, samples, spam, subjects
 from .budget import token_budget
 from .near_duplicates import Duplicates
 from .packing import pack
@@ -34,13 +34,13 @@ def p1_groups(spark: SparkSession, sf: str) -> DataFrame:
     return Duplicates(_scan(spark, sf, "videos", "video_id", "title", "transcript"), LIKENESS, every=True).groups()
 
 
-def _languages(spark: SparkSession, sf: str) -> language.LanguageModel:
-    return language.fit_languages(table(spark, sf, "videos"), table(spark, sf, "languages"), table(spark, sf, "review_labels"))
+def _sample(spark: SparkSession, sf: str, limits: dict[str, int]) -> samples.Sample:
+    return samples.draw(table(spark, sf, "videos"), table(spark, sf, "review_labels"), {"main_language": language.FIT_ROWS, **limits})
 
 
 def _subjects(spark: SparkSession, sf: str) -> DataFrame:
-    videos, reviews = table(spark, sf, "videos"), table(spark, sf, "review_labels")
-    model = subjects.fit_reviewed(videos, reviews, table(spark, sf, "subjects"), _languages(spark, sf))
+    sample = _sample(spark, sf, {"subject": subjects.FIT_ROWS})
+    model = subjects.fit_reviewed(sample, table(spark, sf, "subjects"), language.fit_languages(sample, table(spark, sf, "languages")))
     return subjects.video_subjects(_scan(spark, sf, "videos", "video_id", "title", "transcript"), model)
 
 
@@ -60,19 +60,22 @@ def p3_token_budget(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
-    videos = _scan(spark, sf, "videos", "video_id", "transcript")
-    return reading.reading_levels(videos, reading.fit_graded(videos, table(spark, sf, "review_labels"), _languages(spark, sf)))
+    videos, sample = _scan(spark, sf, "videos", "video_id", "transcript"), _sample(spark, sf, {"reading_level": reading.FIT_ROWS})
+    model = reading.fit_graded(sample, videos, language.fit_languages(sample, table(spark, sf, "languages")))
+    return reading.reading_levels(videos, model)
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     videos = _scan(spark, sf, "videos", "video_id", "title", "transcript", "lang")
-    return language.wrong_labels(videos, table(spark, sf, "languages"), table(spark, sf, "review_labels"))
+    languages = table(spark, sf, "languages")
+    return language.wrong_labels(videos, language.fit_languages(_sample(spark, sf, {}), languages), languages)
 
 
 def p5_segments(spark: SparkSession, sf: str) -> DataFrame:
     """Every title and line that is not blank with its language, a confidence and whether p5_found counts it."""
     videos = _scan(spark, sf, "videos", "video_id", "title", "transcript", "lang")
-    return language.labelled_segments(videos, table(spark, sf, "languages"), table(spark, sf, "review_labels"))
+    languages = table(spark, sf, "languages")
+    return language.labelled_segments(videos, language.fit_languages(_sample(spark, sf, {}), languages), languages)
 
 
 def p7_ids(spark: SparkSession, sf: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .language import USABLE_WORDS, LanguageModel
+from .samples import Sample
 from .subjects import term
 from .words import WordTable, slices, sums
 
@@ -257,16 +258,14 @@ def _fit_once(texts: list[str], levels: np.ndarray, languages: LanguageModel, co
     return ReadingModel(reader, means, spreads, w, edges), order, 1 + ((z @ w)[:, None] > edges).sum(1)
 
 
-def fit_graded(videos: DataFrame, reviews: DataFrame, languages: LanguageModel, limit: int = FIT_ROWS) -> ReadingModel:
-    """The model from at most ``limit`` graded videos with a usable transcript, by hash of
+def fit_graded(sample: Sample, videos: DataFrame, languages: LanguageModel, limit: int = FIT_ROWS) -> ReadingModel:
+    """The model from at most ``limit`` graded videos of the sample with a usable transcript, by hash of
     ``video_id``, and word counts over all transcripts. Of several grades the median counts."""
-    graded = reviews.where(F.col("aspect") == "reading_level").select("video_id", F.col("label_value").try_cast("int").alias("level"))
-    graded = graded.where(F.col("level").isin(*LEVELS)).groupBy("video_id").agg(F.expr("percentile_disc(0.5) within group (order by level)").cast("int").alias("level"))
-    chosen = graded.orderBy(F.xxhash64("video_id"), "video_id").limit(limit)
-    rows = videos.select("video_id", "transcript").where("length(transcript) > 0").join(F.broadcast(chosen), "video_id")
-    rows = rows.dropDuplicates(["video_id"]).orderBy("video_id").toPandas()
-    rows = rows[[len(t.split()) >= USABLE_WORDS for t in rows["transcript"]]]
-    return fit_levels(rows["transcript"].tolist(), rows["level"].to_numpy(np.int64), languages, corpus_counts(videos, "transcript"))
+    graded = sample.reviews.where(F.col("aspect") == "reading_level").select("video_id", F.col("label_value").try_cast("int").alias("level"))
+    graded = graded.where(F.col("level").isin(*LEVELS) & F.col("video_id").isNotNull()).groupBy("video_id").agg(F.expr("percentile_disc(0.5) within group (order by level)").cast("int").alias("level"))
+    rows = sample.take(graded, limit, "nullif(transcript, '')")
+    rows = rows[[len(t.split()) >= USABLE_WORDS for t in rows["text"]]]
+    return fit_levels(rows["text"].tolist(), rows["level"].to_numpy(np.int64), languages, corpus_counts(videos, "transcript"))
 
 
 def reading_levels(videos: DataFrame, model: ReadingModel) -> DataFrame:

@@ -1,12 +1,12 @@
 """Subject areas of documents by seeded non-negative factorisation.
 
 For each language the matrix of labelled documents by terms is factored into one anchored component
-a subject and a background component. Memberships start at the labels and the background; all else
-starts near zero, and multiplicative updates in turn of both factors keep small what is not in the
-labels, so each anchored component stays the subject it was seeded with. From the factor of terms
-and the labels a fixed table of shares is made and broadcast, in which a term counts only for a
-subject that it clearly and typically stands for. Every sentence of every document is scored by
-adding up its terms' shares; no update runs on it.
+a subject and a background component. A subject's component starts at the terms that mark it and
+are typical of its labelled documents, memberships start at the labels and the background, and
+multiplicative updates of both factors in turn leave at zero what starts there, so each anchored
+component stays the subject it was seeded with. The factor of terms is broadcast. Every sentence
+of every transcript, and every title that stands for a missing one, is folded in: its own
+memberships are found by the same multiplicative update with the factor of terms held fixed.
 """
 
 from __future__ import annotations
@@ -20,17 +20,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .language import USABLE_WORDS, LanguageModel
+from .samples import Sample
 from .words import WordTable, slices, sums
 
-#: At most so many reviewed rows, and so many others, are fitted on.
+#: At most so many reviewed rows are fitted on.
 FIT_ROWS = 6000
 UPDATES = 40
 #: A subject starts at terms that are so many times as frequent in its documents as in all.
 MARKED = 1.5
-#: So much of the labelled documents that have a term must be of its subject.
-TYPICAL = 0.45
-#: A term speaks for a subject that holds so much of it; below, it is common speech.
-CLEAR = 0.5
+#: So much of the labelled documents that have a term must be of its subject, next to a few more
+#: documents that are of none, so that a term seen two or three times seeds nothing.
+TYPICAL, UNSEEN = 0.35, 4
+#: Updates of the memberships of a sentence or title against the fixed factor of terms.
+FOLDS = 8
 #: Counts added to the background of every term, so that a term seen once says nothing.
 RARE = 0.7
 #: A sentence is about its foremost subject if that holds so much of its terms.
@@ -55,11 +57,39 @@ def term(word: str) -> str:
 
 
 class SubjectModel:
-    """``table``: term -> for each language the shares of its subjects; background is what is left
-    to 1. Its size is bounded by the vocabulary of the sample."""
-
-    def __init__(self, subjects: list[str], languages: LanguageModel, terms: dict[str, int], shares: np.ndarray):
-        self.subjects, self.languages, self.terms, self.shares = subjects, languages, terms, shares
+    """``factor``: for each term and language its weight in each component, the background last. Its
+    size is bounded by the vocabulary of the sample."""
+
+    def __init__(self, subjects: list[str], languages: LanguageModel, terms: dict[str, int], factor: np.ndarray):
+        self.subjects, self.languages, self.terms, self.factor = subjects, languages, terms, factor
+        #: terms of the background alone, whose part of a membership needs no update
+        self.topical = factor[:, :-1].any(1)
+
+    def fold_in(self, unit: np.ndarray, number: np.ndarray, spoken: np.ndarray, units: int) -> np.ndarray:
+        """For each unit (sentence or title) how many of its words each subject accounts for. ``unit,
+        number, spoken``: of every word, in order of units; number -1 is of the background.
+
+        Memberships start even; an update shares every word out by membership times weight, and the
+        shares of its words are the unit's next membership."""
+        size = np.bincount(unit, minlength=units).astype(float)
+        at = np.maximum(number, 0) * len(self.languages.codes) + spoken
+        own = np.flatnonzero((number >= 0) & self.topical[at])
+        mass = np.zeros((units, len(self.subjects)))
+        if not len(own):
+            return mass
+        held, back, count = np.unique(unit[own], return_inverse=True, return_counts=True)
+        weight = self.factor[at[own]]
+        starts = np.cumsum(count) - count
+        words = size[held]
+        member = np.full((len(held), weight.shape[1]), 1.0 / weight.shape[1])
+        for _ in range(FOLDS):
+            part = member[back] * weight
+            part /= part.sum(1, keepdims=True)
+            total = np.add.reduceat(part, starts, axis=0)
+            total[:, -1] += words - count
+            member = total / words[:, None]
+        mass[held] = total[:, :-1]
+        return mass
 
     def featurize(self, words: list[str]) -> np.ndarray:
         """Language scores, an end-of-sentence mark, the number of the term (or -1)."""
@@ -69,24 +99,25 @@ class SubjectModel:
 
 
 def factor(
-    doc: np.ndarray, word: np.ndarray, count: np.ndarray, membership: np.ndarray, terms: int, updates: int = UPDATES
+    doc: np.ndarray, word: np.ndarray, count: np.ndarray, membership: np.ndarray, typical: np.ndarray, updates: int = UPDATES
 ) -> np.ndarray:
     """The counts of the matrix as the factors divide them: components x terms. ``doc, word,
-    count``: the matrix as triples, by document; ``membership``: documents x components as seeded.
+    count``: the matrix as triples, by document; ``membership``: documents x components as seeded;
+    ``typical``: subjects x terms, the terms a subject may be seeded at.
 
     The last component is the background and starts at the frequencies of all documents. The others
-    start at the terms that are markedly more frequent with them, so common words begin near zero
-    there, where multiplicative updates leave them."""
+    start at their typical terms that are markedly more frequent with them; all others are zero
+    there, and multiplicative updates leave them so."""
+    terms = typical.shape[1]
     w = membership / np.maximum(membership.sum(1, keepdims=True), 1e-12)
     start = np.zeros((w.shape[1], terms))
     for k in range(w.shape[1]):
         start[k] = np.bincount(word, count * w[doc, k], terms)
     h = start / np.maximum(start.sum(1, keepdims=True), 1e-12)
     common = np.bincount(word, count, terms) / max(count.sum(), 1e-12)
-    h[:-1] *= np.clip(h[:-1] / np.maximum(common, 1e-12) - MARKED, 0, 1)
-    h[-1] = common
-    h += 1e-9
-    h /= h.sum(1, keepdims=True)
+    h[:-1] *= np.clip(h[:-1] / np.maximum(common, 1e-12) - MARKED, 0, 1) * typical
+    h[-1] = common + 1e-9
+    h /= np.maximum(h.sum(1, keepdims=True), 1e-12)
     starts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, np.int64)
     present = doc[starts] if len(doc) else np.zeros(0, np.int64)
     held = start
@@ -95,8 +126,7 @@ def factor(
         part *= (count / np.maximum(part.sum(1), 1e-12))[:, None]
         for k in range(w.shape[1]):
             held[k] = np.bincount(word, part[:, k], terms)
-        h = held + 1e-9
-        h /= h.sum(1, keepdims=True)
+        h = held / np.maximum(held.sum(1, keepdims=True), 1e-12)
         new = np.zeros_like(w)
         if len(doc):
             new[present] = np.add.reduceat(part, starts, axis=0)
@@ -138,41 +168,36 @@ def fit_subjects(texts: list[str], labels: list[set[str]], subjects: list[str],
         seeded[k, at] = 1 / max(1, len(at))
         truth[k, at] = 1
     known = truth.any(1)
-    # How a term divides over the components of its language. Beforehand the subjects are equally
-    # likely, and together as likely as they are in the sample.
-    shares = np.zeros((max(width, 1) * n_lang, n_sub), np.float32)
+    weights = np.zeros((max(width, 1) * n_lang, n_sub + 1), np.float32)
     for k in range(n_lang):
         here = lang == k
-        held = factor(doc[here], (rest % width)[here], count[here].astype(float), seeded, width)
-        each = held[:n_sub]
-        alike = each.sum() / n_sub
-        weight = each / (each.sum(1, keepdims=True) + 0.3 * alike + 1e-9) * 1.3 * alike
         # of the documents that have the term, the part that is of each subject
         labelled = here & known[doc]
         holders = np.bincount((rest % width)[labelled], minlength=width)
-        of = np.stack([np.bincount((rest % width)[labelled], truth[doc[labelled], j], width) for j in range(n_sub)], 1)
-        typical = of >= TYPICAL * np.maximum(holders, 1)[:, None]
-        share = (weight / (weight.sum(0) + held[n_sub] + RARE)).T
-        shares[np.arange(width) * n_lang + k] = np.where((share >= CLEAR) & typical, share, 0)
-    return SubjectModel(subjects, languages, terms, shares)
+        of = np.stack([np.bincount((rest % width)[labelled], truth[doc[labelled], j], width) for j in range(n_sub)])
+        held = factor(doc[here], (rest % width)[here], count[here].astype(float), seeded, of >= TYPICAL * (holders + UNSEEN))
+        held[n_sub] += RARE
+        each = held / np.maximum(held.sum(1, keepdims=True), 1e-12)
+        weights[np.arange(width) * n_lang + k] = each.T
+    return SubjectModel(subjects, languages, terms, weights)
 
 
-def mixtures(model: SubjectModel, words: WordTable, lines: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For the words of lines: the line and the sentence each belongs to, its subject shares, and
-    whether it ends a sentence by its punctuation."""
+def sentences(model: SubjectModel, words: WordTable, lines: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For the words of lines: the line and the sentence each belongs to, and whether it ends a
+    sentence by its punctuation; for each sentence the words its subjects account for."""
     counts = np.array([len(x) for x in lines], np.int64)
     rows = words.rows([w for x in lines for w in x])
     n_lang = len(model.languages.codes)
     features = words.features[rows]
     spoken = sums(features[:, :n_lang], counts).argmax(1) if len(lines) else np.zeros(0, np.int64)
     line = np.repeat(np.arange(len(lines)), counts)
-    number = features[:, n_lang + 1].astype(np.int64)
-    share = np.where((number >= 0)[:, None], model.shares[np.maximum(number, 0) * n_lang + spoken[line]], 0) if len(rows) else np.zeros((0, len(model.subjects)))
     ends = features[:, n_lang] > 0
     begins = np.ones(len(rows), bool)
     if len(rows) > 1:
         begins[1:] = ends[:-1] | (line[1:] != line[:-1])
-    return line, np.cumsum(begins) - 1, share, ends
+    sentence = np.cumsum(begins) - 1
+    mass = model.fold_in(sentence, features[:, n_lang + 1].astype(np.int64), spoken[line], int(begins.sum()))
+    return line, sentence, ends, mass
 
 
 def document_shares(model: SubjectModel, words: WordTable, texts: list[str]) -> np.ndarray:
@@ -190,10 +215,9 @@ def document_shares(model: SubjectModel, words: WordTable, texts: list[str]) ->
     n_sub = len(model.subjects)
     if not lines:
         return np.zeros((len(texts), n_sub))
-    line, sentence, share, ends = mixtures(model, words, lines)
+    line, sentence, ends, mass = sentences(model, words, lines)
     of_line = np.repeat(np.arange(len(texts)), per_text)
     sizes = np.bincount(sentence)
-    mass = sums(share, sizes)
     text = of_line[line[np.cumsum(sizes) - sizes]]
     total, top = mass.sum(1), mass.max(1)
     single = np.zeros((len(sizes), n_sub))
@@ -211,8 +235,8 @@ def document_shares(model: SubjectModel, words: WordTable, texts: list[str]) ->
 
 
 def title_subjects(model: SubjectModel, words: WordTable, titles: list[str]) -> np.ndarray:
-    """Whether the part of a title up to the first ``|`` has a term of each subject. A title too
-    short to tell its language, without a term in the likeliest, is read in the next likely one."""
+    """Whether the part of a title up to the first ``|``, folded in whole, has a term of each subject. A
+    title too short to tell its language, without a term in the likeliest, is read in the next likely one."""
     heads = [t.split("|", 1)[0].split() for t in titles]
     sizes = np.array([len(h) for h in heads], np.int64)
     out, n_lang = np.zeros((len(titles), len(model.subjects)), bool), len(model.languages.codes)
@@ -227,21 +251,17 @@ def title_subjects(model: SubjectModel, words: WordTable, titles: list[str]) ->
         spoken = order[:, place]
         at = np.arange(len(heads))
         near = ~out.any(1) & (score[at, order[:, 0]] - score[at, spoken] < UNSURE)
-        share = np.where((number >= 0)[:, None], model.shares[np.maximum(number, 0) * n_lang + spoken[title]], 0)
-        hit = np.zeros_like(out)
-        np.logical_or.at(hit, title, share >= TITLE_MASS)
-        out |= hit & near[:, None]
+        mass = model.fold_in(title, number, spoken[title], len(heads))
+        out |= (mass >= TITLE_MASS) & near[:, None]
     return out
 
 
-def fit_reviewed(videos: DataFrame, reviews: DataFrame, subjects: DataFrame, languages: LanguageModel, limit: int = FIT_ROWS) -> SubjectModel:
-    """The model from at most ``limit`` reviewed videos, taken by hash of ``video_id``; the text of
-    one without a transcript is its title."""
+def fit_reviewed(sample: Sample, subjects: DataFrame, languages: LanguageModel, limit: int = FIT_ROWS) -> SubjectModel:
+    """The model from at most ``limit`` reviewed videos of the sample, by hash of ``video_id``: the title up
+    to the first ``|`` and the transcript. A video keeps every subject that a review gives it."""
     codes = sorted(r["subject_code"] for r in subjects.select("subject_code").collect())  # a fixed table of eight rows
-    labelled = reviews.where(F.col("aspect") == "subject").groupBy("video_id").agg(F.collect_set("label_value").alias("labels"))
-    chosen = labelled.orderBy(F.xxhash64("video_id"), "video_id").limit(limit)
-    texts = videos.select("video_id", F.coalesce("transcript", "title").alias("text")).where("text is not null and text <> ''")
-    rows = texts.join(F.broadcast(chosen), "video_id").dropDuplicates(["video_id"]).orderBy("video_id").toPandas()
+    said = sample.reviews.where((F.col("aspect") == "subject") & F.col("video_id").isNotNull()).groupBy("video_id").agg(F.collect_set("label_value").alias("labels"))
+    rows = sample.take(said, limit, "nullif(concat_ws('\n', substring_index(title, '|', 1), transcript), '')")
     return fit_subjects(rows["text"].tolist(), [set(x) for x in rows["labels"]], codes, languages)
 
 

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 
 from lectern.llm import language as L
-from lectern.llm import queries
+from lectern.llm import queries, samples
 from lectern.session import table
 
 LANGUAGES = pd.DataFrame({"lang_code": ["de", "en", "fr"], "iso3": ["deu", "eng", "fra"], "english_name": ["German", "English", "French"]})
@@ -66,7 +66,8 @@ def test_segments_query_holds_every_title_and_line(spark, data):
 
 def test_repeated_rows_give_a_segment_once(spark, data):
     videos = table(spark, data, "videos")
-    args = (table(spark, data, "languages"), table(spark, data, "review_labels"))
+    languages = table(spark, data, "languages")
+    args = (L.fit_languages(samples.draw(videos, table(spark, data, "review_labels"), {"main_language": 6000}), languages), languages)
     once = sorted(map(tuple, L.wrong_labels(videos, *args).collect()))
     assert len({r[:2] for r in once}) == len(once) > 0
     assert L.wrong_labels(videos.limit(0), *args).collect() == []

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.llm import queries, reading, spam, subjects
+from lectern.llm import queries, reading, samples, spam, subjects
 from lectern.llm.language import fit_languages
 from lectern.llm.words import WordTable
 from lectern.session import table
@@ -18,7 +18,11 @@ def large(data):
 
 @pytest.fixture(scope="module")
 def languages(spark, large):
-    return fit_languages(table(spark, large, "videos"), table(spark, large, "languages"), table(spark, large, "review_labels"))
+    return fit_languages(drawn(spark, large, table(spark, large, "review_labels")), table(spark, large, "languages"))
+
+
+def drawn(spark, large, reviews):
+    return samples.draw(table(spark, large, "videos"), reviews, {"main_language": 6000, "subject": 6000, "reading_level": 10_000})
 
 
 def halves(spark, large, aspect):
@@ -30,7 +34,7 @@ def halves(spark, large, aspect):
 def test_subjects_held_out(spark, large, languages):
     seen, held = halves(spark, large, "subject")
     videos = table(spark, large, "videos")
-    model = subjects.fit_reviewed(videos, seen, table(spark, large, "subjects"), languages)
+    model = subjects.fit_reviewed(drawn(spark, large, seen), table(spark, large, "subjects"), languages)
     got = set(map(tuple, subjects.video_subjects(videos, model).select("video_id", "subject_code").collect()))
     want = set(map(tuple, held.to_numpy()))
     ids = set(held["video_id"])
@@ -46,15 +50,31 @@ def test_factor_keeps_its_seeds():
     topic = np.repeat([0, 1], 10)
     count = np.where(word >= 4, 5.0, np.where((word // 2) == topic[doc], 3.0, 0.01))
     membership = np.column_stack([topic == 0, topic == 1, np.ones(20)]).astype(float) + 0.01
-    held = subjects.factor(doc, word, count, membership, 6)
+    held = subjects.factor(doc, word, count, membership, np.ones((2, 6), bool))
     assert held[0, :2].sum() > 10 * held[0, 2:4].sum() and held[1, 2:4].sum() > 10 * held[1, :2].sum()
     assert held[2, 4:].sum() > 0.9 * held[2].sum()
-    assert subjects.factor(np.zeros(0, int), np.zeros(0, int), np.zeros(0), np.ones((2, 3)), 6).sum() == 0
+    assert not held[0, 4:].any() and not held[1, 4:].any()  # zero where it starts at zero
+    assert subjects.factor(np.zeros(0, int), np.zeros(0, int), np.zeros(0), np.ones((2, 3)), np.ones((2, 6), bool)).sum() == 0
+
+
+def test_fold_in_shares_a_sentence_out(languages):
+    lang = len(languages.codes)
+    weights = np.zeros((3 * lang, 3), np.float32)
+    weights[0:lang] = [0.9, 0, 0.01]  # a term of the first subject
+    weights[lang : 2 * lang] = [0.1, 1, 0.01]  # of the second, and now and then of the first
+    weights[2 * lang :] = [0, 0, 0.98]
+    model = subjects.SubjectModel(["x", "y"], languages, {"a": 0, "b": 1, "c": 2}, weights)
+    unit, number = np.array([0, 0, 0, 1, 1, 2, 2]), np.array([0, 2, 2, 0, 1, 2, -1])
+    mass = model.fold_in(unit, number, np.zeros(7, int), 4)
+    assert mass[0, 0] > 0.9 and mass[0, 1] == 0 and mass[1].min() > 0.7 and not mass[2:].any()
+    # what a word is about depends on the others: alone with the first term, the second leans to it
+    alone = model.fold_in(np.zeros(5, int), np.array([0, 0, 0, 0, 1]), np.zeros(5, int), 1)
+    assert alone[0, 0] > 4
 
 
 def test_subjects_of_odd_input(spark, large, languages):
     videos = table(spark, large, "videos")
-    model = subjects.fit_reviewed(videos, table(spark, large, "review_labels"), table(spark, large, "subjects"), languages)
+    model = subjects.fit_reviewed(drawn(spark, large, table(spark, large, "review_labels")), table(spark, large, "subjects"), languages)
     rows = [("a", None, None), ("b", "", ""), ("c", "King - Lecture 3 | School of the garden", None), ("c", "King - Lecture 3 | School of the garden", None), ("d", "x", "word " * 200_000), ("e", None, "1 2 3 " * 40), (None, "King", None)]
     df = spark.createDataFrame(rows, "video_id string, title string, transcript string").withColumn("share", F.lit(1))
     got = subjects.video_subjects(df, model).collect()
@@ -68,7 +88,7 @@ def test_subjects_of_odd_input(spark, large, languages):
 def test_levels_held_out(spark, large, languages):
     seen, held = halves(spark, large, "reading_level")
     videos = table(spark, large, "videos")
-    model = reading.fit_graded(videos, seen, languages)
+    model = reading.fit_graded(drawn(spark, large, seen), videos, languages)
     got = {r["video_id"]: r["reading_level"] for r in reading.reading_levels(videos, model).collect()}
     assert set(got.values()) <= {1, 2, 3, 4}
     pairs = [(got[v], int(level)) for v, level in held.to_numpy() if v in got]
@@ -142,9 +162,30 @@ def test_ten_thousand_graded_texts_are_fitted_on(spark, monkeypatch):
     monkeypatch.setattr(reading, "corpus_counts", lambda *_: None)
     monkeypatch.setattr(reading, "fit_levels", lambda texts, *_: len(texts))
     ids = spark.range(10_100).select(F.col("id").cast("string").alias("video_id"))
-    videos = ids.select("video_id", F.repeat(F.lit("word "), 50).alias("transcript"))
+    videos = ids.select("video_id", F.lit(None).cast("string").alias("title"), F.repeat(F.lit("word "), 50).alias("transcript"), F.lit("en").alias("lang"))
     reviews = ids.select("video_id", F.lit("reading_level").alias("aspect"), F.lit("2").alias("label_value"))
-    assert reading.fit_graded(videos, reviews, None) == 10_000
+    sample = samples.draw(videos, reviews, {"reading_level": 10_000})
+    assert reading.fit_graded(sample, videos, None) == 10_000
+
+
+def test_samples_are_whole_and_bounded(spark, monkeypatch, tmp_path):
+    rows = [(f"v{i}", None, f"text {i} " * 100, "en") for i in range(300)] + [("v1", "other", "x", None), (None, "t", "x", "en")]
+    videos = spark.createDataFrame(rows, "video_id string, title string, transcript string, lang string").withColumn("label", F.lit("clash"))
+    votes = [("v1", "a", "x"), ("v1", "a", "y"), ("v1", "a", "y"), ("v2", "a", "q"), ("v2", "a", "p"), ("v3", "b", "z"), (None, "a", "x"), ("v4", "a", None)]
+    reviews = spark.createDataFrame(votes, "video_id string, aspect string, label_value string")
+    assert sorted(map(tuple, samples.verdicts(reviews, "a").collect())) == [("v1", "y"), ("v2", "p")]
+    monkeypatch.setattr(samples, "SAMPLE_ROWS", 0)
+    sample = samples.draw(videos, reviews, {"a": 10, "b": 10})
+    assert sorted(r["video_id"] for r in sample.rows.collect()) == ["v1", "v2", "v3"]
+    got = sample.take(sample.labels("a"), 10, "nullif(transcript, '')")
+    assert got["video_id"].tolist() == ["v1", "v2"] and got["label"].tolist() == ["y", "p"] and got["text"][1] == "text 2 " * 100
+    monkeypatch.setattr(samples, "SAMPLE_CHARS", 900)
+    assert len(sample.take(sample.labels("a"), 10, "nullif(transcript, '')")) == 1
+    monkeypatch.setattr(samples, "SAMPLE_ROWS", 1000)
+    assert samples.draw(videos, None, {"a": 10}).rows.count() == 300
+    assert samples.draw(videos.limit(0), reviews, {"a": 10}).rows.count() == 0
+    samples.save(spark, {"a": 1}, str(tmp_path / "model"))
+    assert samples.restore(spark, str(tmp_path / "model")) == {"a": 1}
 
 
 def test_grades_in_parts_are_those_of_the_whole(spark, large, languages, monkeypatch):
