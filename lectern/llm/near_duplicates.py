@@ -2,17 +2,19 @@
 
 A record is the set of its runs of five words. Records of equal sets are one class. Each class gets
 a fixed number of minwise tokens; independent trees branch the classes by selected ones of them: two
-at the root, then one at a time, on several branches, for as long as a node is large. Small nodes
-are compared exhaustively by a 128-bin one-permutation sketch, and what may reach the likeness is
-checked exactly on the sets. Nodes still large at the last level hold records that agree on four
-selected tokens, so they are mostly partners; they are compared exhaustively too, in blocks spread
-over tasks. No node, bucket or number of partners is capped.
+at the root, then one at a time, on several branches, for as long as a node is large and still
+falls apart. Small nodes are compared exhaustively by a 128-bin one-permutation sketch, and what
+may reach the likeness is checked exactly on the sets. A large node that keeps half of its parent
+is dense: its records agree on most tokens, so they are mostly partners and branching it further
+is no use; dense nodes are compared exhaustively too, in blocks spread over tasks. As every other
+node has less than half of its parent's records, the depth follows from the size, and no node,
+bucket or number of partners is capped.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +31,15 @@ TREES = 20
 #: Each tree has two root tokens of its own, so trees fail independently.
 COORDINATES = 2 * TREES
 #: Of a minwise token 16 bits are kept: two make a root, and chance meetings in one stay rare.
-LEVELS = 3
 BRANCHES = 3
-#: Nodes of at most so many classes are compared in one task; larger ones branch, at last in blocks of this size.
+#: Nodes of at most so many classes are compared in one task; larger ones branch.
 LEAF = 64
-#: Classes of at most so many exact copies are expanded into all their pairs.
-EXPANDED = 500
+#: A large node with so much of its parent is dense.
+DENSE = 0.5
+#: Dense nodes, and texts to be checked, are worked on in blocks of about so many.
+BLOCK = 512
+#: At most so many rows stand for the bits of the ids that are to be checked: 4 MB, broadcast.
+BIT_WORDS = 1 << 18
 #: Standard deviations by which the sketch may fall short of the likeness.
 SLACK = 4.0
 
@@ -102,22 +107,23 @@ def signatures(flat: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _usable(batch: pa.RecordBatch, words: int) -> tuple[list[str], list[str]]:
-    ids, texts = [], []
-    for video, title, text in zip(*(batch.column(c).to_pylist() for c in ("video_id", "title", "transcript"))):
+def _usable(batch: pa.RecordBatch, words: int) -> tuple[list[str], list[int], list[str]]:
+    ids, picks, texts = [], [], []
+    for video, pick, title, text in zip(*(batch.column(c).to_pylist() for c in ("video_id", "pick", "title", "transcript"))):
         if video is not None and text and len(text.split()) >= words:
             ids.append(video)
+            picks.append(pick)
             texts.append(f"{title or ''}\n{text}")
-    return ids, texts
+    return ids, picks, texts
 
 
-SIGNED = "video_id string, c0 long, c1 long, n int, tokens array<smallint>, s0 long, s1 long, m0 long, m1 long"
+SIGNED = "video_id string, pick long, c0 long, c1 long, n int, tokens array<smallint>, s0 long, s1 long, m0 long, m1 long"
 
 
 def _sign(batches: Iterator[pa.RecordBatch], least: int, whole: bool) -> Iterator[pa.RecordBatch]:
     table = WordTable(word_hashes)
     for batch in slices(batches):
-        ids, texts = _usable(batch, least)
+        ids, picks, texts = _usable(batch, least)
         flat, sizes = shingles(table, texts, whole) if texts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         some = np.flatnonzero(sizes)
         if not len(some):
@@ -128,20 +134,41 @@ def _sign(batches: Iterator[pa.RecordBatch], least: int, whole: bool) -> Iterato
         )
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([ids[k] for k in some], pa.string()), *(pa.array(s[c].view(np.int64)) for c in ("c0", "c1")),
+                pa.array([ids[k] for k in some], pa.string()), pa.array([picks[k] for k in some], pa.int64()), *(pa.array(s[c].view(np.int64)) for c in ("c0", "c1")),
                 pa.array(sizes[some], pa.int32()), tokens, *(pa.array(s[c].view(np.int64)) for c in ("s0", "s1", "m0", "m1")),
             ],
-            ["video_id", "c0", "c1", "n", "tokens", "s0", "s1", "m0", "m1"],
+            ["video_id", "pick", "c0", "c1", "n", "tokens", "s0", "s1", "m0", "m1"],
         )
 
 
-def _sets(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+def _check(batches: Iterator[pa.RecordBatch], likeness: float, whole: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs that have the likeness. Rows come by tile, the texts of a tile (``b`` null) before its pairs."""
     table = WordTable(word_hashes)
+    sets: dict[int, np.ndarray] = {}
+    last = None
     for batch in slices(batches):
-        texts = [f"{a or ''}\n{b}" for a, b in zip(batch.column("title").to_pylist(), batch.column("transcript").to_pylist())]
-        flat, sizes = shingles(table, texts, whole)
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(flat.view(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), lists], ["doc", "grams"])
+        tile, a, other = (batch.column(c).to_pylist() for c in ("tile", "a", "b"))
+        at = [k for k, b in enumerate(other) if b is None]
+        texts = batch.take(pa.array(at, pa.int64()))
+        words = [f"{x or ''}\n{y}" for x, y in zip(texts.column("title").to_pylist(), texts.column("transcript").to_pylist())]
+        flat, sizes = shingles(table, words, whole) if at else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        ends = np.cumsum(sizes)
+        found, n = [], 0
+        for k, b in enumerate(other):
+            if tile[k] != last:
+                last, sets = tile[k], {}
+            if b is None:
+                sets[a[k]] = flat[ends[n] - sizes[n] : ends[n]]
+                n += 1
+            else:
+                x, y = sets[a[k]], sets[b]
+                both = np.sort(np.concatenate([x, y]))
+                common = int(np.count_nonzero(both[1:] == both[:-1]))
+                if common >= likeness * (len(both) - common):
+                    found.append((a[k], b, common / (len(both) - common)))
+        yield pa.RecordBatch.from_pylist(
+            [{"a": x, "b": y, "likeness": v} for x, y, v in found], pa.schema([("a", pa.int64()), ("b", pa.int64()), ("likeness", pa.float64())])
+        )
 
 
 class Duplicates:
@@ -149,18 +176,20 @@ class Duplicates:
 
     Only rows with an id and a transcript of at least 50 words and one shingle take part, or with
     ``every`` those with an id and a transcript that is not blank, where a text too short for a
-    shingle is like exact copies only; a null title counts as empty. If rows of one video differ in text, the one of the smallest set hash
-    counts. An empty table gives no pairs. Other columns are pruned.
+    shingle is like exact copies only; a null title counts as empty. If rows of one video differ in
+    text, the one of the smallest hash of title and transcript counts. An empty table gives no pairs.
+    Other columns are pruned.
     """
 
     def __init__(self, videos: DataFrame, likeness: float, every: bool = False):
-        self.videos, self.likeness, self.every = videos.select("video_id", "title", "transcript"), likeness, every
+        texts = videos.select("video_id", "title", "transcript").where("length(transcript) > 0")
+        self.texts, self.likeness, self.every = texts.withColumn("pick", F.xxhash64("title", "transcript")), likeness, every
         least = 1 if every else USABLE_WORDS
-        signed = self.videos.where("length(transcript) > 0").mapInArrow(lambda batches: _sign(batches, least, every), SIGNED)
+        signed = self.texts.mapInArrow(lambda batches: _sign(batches, least, every), SIGNED)
         rest = [c for c in signed.columns if c != "video_id"]
         one = signed.groupBy("video_id").agg(F.min(F.struct(*rest)).alias("s")).select("video_id", "s.*")
         each = cut(one)
-        first = F.min(F.struct("video_id", *rest[2:])).alias("s")
+        first = F.min(F.struct("video_id", "pick", *rest[3:])).alias("s")
         heads = each.groupBy("c0", "c1").agg(first, F.count(F.lit(1)).alias("copies")).select("c0", "c1", "copies", "s.*")
         self.classes = cut(heads.withColumn("doc", F.monotonically_increasing_id()))
         #: doc (number of the class), head (its first video), copies (its videos), video_id
@@ -180,70 +209,109 @@ class Duplicates:
         small, large = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
         return near & (small >= self.likeness * large)
 
-    def _compare(self, rows: DataFrame, keys: list[str]) -> DataFrame:
+    def _compare(self, rows: DataFrame, keys: list[str], once: Callable[[str, str], Column] | None = None) -> DataFrame:
         """Pairs of classes within equal ``keys`` that may reach the likeness."""
         sketched = rows.join(self.classes.select("doc", "n", "s0", "s1", "m0", "m1"), "doc")
         on = F.col("a.doc") < F.col("b.doc")
         for key in keys:
             on = on & (F.col(f"a.{key}") == F.col(f"b.{key}"))
+        if once is not None:
+            on = on & once("a", "b")
         pairs = sketched.alias("a").join(sketched.alias("b"), on & self._may("a", "b"))
         return pairs.select(F.col("a.doc").alias("a"), F.col("b.doc").alias("b"))
 
     def candidates(self) -> DataFrame:
         """Distinct pairs of classes, ``a < b``, from all trees."""
-        spark = self.videos.sparkSession
-        roots = [F.xxhash64(F.lit(t), F.col("tokens")[2 * t], F.col("tokens")[2 * t + 1]) for t in range(TREES)]
-        rows = self.classes.select("doc", F.explode(F.array(*roots)).alias("node"))
-        found = spark.createDataFrame([], "a long, b long")
-        for level in range(1, LEVELS + 1):
+        spark = self.texts.sparkSession
+        roots = [F.struct(F.lit(t).alias("tree"), F.xxhash64(F.lit(t), F.col("tokens")[2 * t], F.col("tokens")[2 * t + 1]).alias("node")) for t in range(TREES)]
+        rows = self.classes.select("doc", F.explode(F.array(*roots)).alias("r")).select("doc", "r.tree", "r.node", F.lit(None).cast("long").alias("parent"))
+        found, dense, level = spark.createDataFrame([], "a long, b long"), None, 0
+        while True:
             sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
             kept = cut(rows.join(sizes, "node"))
             found = found.unionByName(self._compare(kept.where(F.col("size") <= LEAF).select("node", "doc"), ["node"]))
             large = kept.where(F.col("size") > LEAF)
+            # a tree reads a token once, so what is large when all are used stays as it is
+            spent = COORDINATES - 2 < BRANCHES * (level + 1)
+            whole = F.coalesce(F.col("size") >= DENSE * F.col("parent"), F.lit(False)) | F.lit(spent)
+            ended = large.where(whole).select("node", "doc")
+            dense = ended if dense is None else dense.unionByName(ended)
+            large = large.where(~whole)
             if large.isEmpty():
-                return found.distinct()
-            if level < LEVELS:
-                at = [F.pmod(F.xxhash64("node", F.lit(level), F.lit(k)), F.lit(COORDINATES)).cast("int") for k in range(BRANCHES)]
-                tokens = self.classes.select("doc", "tokens")
-                branches = F.array(*(F.xxhash64("node", F.lit(k), F.get("tokens", c)) for k, c in enumerate(at)))
-                rows = large.join(tokens, "doc").select("doc", F.explode(branches).alias("node"))
-        # Nodes of one membership are one node.
-        same = large.groupBy("node").agg(F.bit_xor(F.xxhash64("doc")).alias("x"), F.sum(F.hash("doc").cast("long")).alias("y"), F.first("size").alias("size"))
-        once = same.groupBy("x", "y", "size").agg(F.min("node").alias("node")).select("node")
-        blocks = F.ceil(F.col("size") / LEAF).cast("int")
-        own = F.pmod(F.xxhash64("doc"), blocks).cast("int")
-        spread = large.join(once, "node").select("node", "doc", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-        spread = spread.select("node", "doc", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-        return found.unionByName(self._compare(spread, ["node", "low", "high"])).distinct()
+                break
+            at = [(F.col("tree") * 2 + 2 + BRANCHES * level + k) % COORDINATES for k in range(BRANCHES)]
+            tokens = self.classes.select("doc", "tokens")
+            branches = F.array(*(F.xxhash64("node", F.lit(k), F.get("tokens", c)) for k, c in enumerate(at)))
+            rows = large.join(tokens, "doc").select("doc", "tree", F.explode(branches).alias("node"), F.col("size").alias("parent"))
+            level += 1
+        return found.unionByName(self._in_blocks(dense)).distinct()
+
+    def _in_blocks(self, dense: DataFrame) -> DataFrame:
+        """Pairs within dense nodes. The trees find much the same dense nodes again and again, so those
+        that share their member of the smallest hash are compared as one, which holds all of them."""
+        order = F.struct(F.xxhash64("doc"), "doc")
+        first = dense.groupBy("node").agg(F.min_by("doc", order).alias("group"))
+        joined = dense.join(first, "node").select("group", "doc").distinct()
+        sizes = joined.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+        placed = joined.join(sizes, "group").withColumn("own", F.pmod(F.xxhash64("doc", F.lit(1)), F.col("blocks")).cast("int"))
+        spread = placed.select("group", "doc", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        spread = spread.select("group", "doc", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+        # two rows of one block meet in each of its pairings; they are compared where it meets itself
+        once = lambda a, b: (F.col(f"{a}.low") == F.col(f"{a}.high")) | (F.col(f"{a}.own") != F.col(f"{b}.own"))
+        return self._compare(spread, ["group", "low", "high"], once)
+
+    def _texts_of(self, docs: DataFrame) -> DataFrame:
+        """``doc, title, transcript`` of classes ``docs``. The scan is held against a table of bits of their
+        hashes first, of bounded size, so that hardly any other text is shuffled."""
+        named = self.classes.select("doc", "video_id", "pick").join(docs, "doc", "left_semi")
+        slot = F.pmod(F.xxhash64("video_id", "pick"), F.lit(BIT_WORDS << 6))
+        bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
+        marks = named.withColumn("slot", slot).select(F.shiftright("slot", 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+        slotted = self.texts.withColumn("slot", slot).withColumn("word", F.shiftright("slot", 6))
+        near = slotted.join(F.broadcast(marks), "word").where(F.col("bits").bitwiseAND(bit) != 0)
+        # repeated rows of a video are one before the shuffle
+        texts = near.groupBy("video_id", "pick").agg(F.first("title").alias("title"), F.first("transcript").alias("transcript"))
+        return texts.join(named, ["video_id", "pick"]).select("doc", "title", "transcript")
 
     def class_pairs(self) -> DataFrame:
-        """``a, b, likeness`` of every pair of different classes found that has the likeness exactly."""
+        """``a, b, likeness`` of every pair of different classes found that has the likeness exactly.
+
+        Pairs are checked in tiles, so that a text is shuffled and cut into shingles once a tile and not
+        once a pair: a tile holds the pairs whose first class has one least partner, split into blocks
+        where those are many."""
         pairs = cut(self.candidates())
-        docs = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
-        heads = self.classes.select("doc", "video_id", "c0", "c1").join(docs, "doc", "left_semi").select("doc", "video_id")
-        texts = self.videos.where("length(transcript) > 0").join(heads.hint("shuffle_hash"), "video_id")
-        whole = self.every
-        grams = texts.select("doc", "title", "transcript").mapInArrow(lambda batches: _sets(batches, whole), "doc long, grams array<long>")
-        # A video of rows with different texts has several sets here; the likeness is that of the best.
-        left, right = grams.toDF("a", "ga"), grams.toDF("b", "gb")
-        shared = pairs.join(left, "a").join(right, "b").select("a", "b", F.size("ga").alias("na"), F.size("gb").alias("nb"), F.size(F.array_intersect("ga", "gb")).alias("both"))
-        scored = shared.select("a", "b", (F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("likeness"))
-        return scored.where(F.col("likeness") >= self.likeness).groupBy("a", "b").agg(F.max("likeness").alias("likeness"))
-
-    def pairs(self) -> DataFrame:
+        both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        lead = both.groupBy(F.col("a").alias("doc")).agg(F.least(F.min("b"), F.col("a")).alias("lead"))
+        blocks = lead.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+        led = pairs.join(lead.join(blocks, "lead").withColumnRenamed("doc", "a"), "a")
+        block = lambda c: F.pmod(F.xxhash64(c), F.col("blocks"))
+        tiled = cut(led.select(F.xxhash64("lead", block("a"), block("b")).alias("tile"), "a", "b"))
+        needed = tiled.select("tile", F.col("a").alias("doc")).union(tiled.select("tile", "b")).distinct()
+        texts = needed.join(self._texts_of(needed.select("doc").distinct()), "doc")
+        rows = texts.select("tile", F.col("doc").alias("a"), F.lit(None).cast("long").alias("b"), "title", "transcript")
+        rows = rows.unionByName(tiled.withColumn("title", F.lit(None).cast("string")).withColumn("transcript", F.lit(None).cast("string")))
+        ordered = rows.repartition(F.col("tile")).sortWithinPartitions("tile", F.asc_nulls_first("b"))
+        likeness, whole = self.likeness, self.every
+        return ordered.mapInArrow(lambda batches: _check(batches, likeness, whole), "a long, b long, likeness double")
+
+    def pairs(self, expand: int | None) -> DataFrame:
         """``video_id_a, video_id_b`` (a < b by code point) of all videos, copies among them.
 
-        A class of more than ``EXPANDED`` exact copies stands in pairs with its first video, and each
-        other copy in one pair with that, so no link is lost and the result stays in proportion.
+        ``expand`` says what becomes of classes of exact copies. None: every pair of every two videos,
+        whose number grows with the square of a class. 1: a copy is paired with the first video of its
+        class only, and links to other texts stand for that video, so the result stays in proportion; with
+        ``groups`` all pairs follow from it. Any other number: all pairs in classes of at most so
+        many videos, the short form in larger ones. No link between different texts is lost.
         """
-        shown = self.members.where((F.col("copies") <= EXPANDED) | (F.col("video_id") == F.col("head"))).select("doc", "video_id")
+        full = F.lit(True) if expand is None else F.col("copies") <= expand
+        shown = self.members.where(full | (F.col("video_id") == F.col("head"))).select("doc", "video_id")
         a, b = shown.toDF("a", "va"), shown.toDF("b", "vb")
         across = self.class_pairs().join(a, "a").join(b, "b")
         across = across.select(F.least("va", "vb").alias("video_id_a"), F.greatest("va", "vb").alias("video_id_b"))
-        several = self.members.where(F.col("copies").between(2, EXPANDED)).select("doc", "video_id")
+        several = self.members.where(full & (F.col("copies") > 1)).select("doc", "video_id")
         a, b = several.toDF("a", "va"), several.toDF("b", "vb")
         within = a.join(b, (F.col("a") == F.col("b")) & (F.col("va") < F.col("vb"))).select(F.col("va").alias("video_id_a"), F.col("vb").alias("video_id_b"))
-        many = self.members.where((F.col("copies") > EXPANDED) & (F.col("video_id") != F.col("head")))
+        many = self.members.where(~full & (F.col("video_id") != F.col("head")))
         return across.unionByName(within).unionByName(many.select(F.col("head").alias("video_id_a"), F.col("video_id").alias("video_id_b")))
 
     def groups(self) -> DataFrame:

@@ -22,10 +22,12 @@ def _scan(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
 
 #: Likeness from which on two videos are near-duplicates.
 LIKENESS = 0.6
+#: Classes of at most so many exact copies stand in p1_found with all their pairs (124,750 at most a class).
+COPIES = 500
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    return Duplicates(_scan(spark, sf, "videos", "video_id", "title", "transcript"), LIKENESS).pairs()
+    return Duplicates(_scan(spark, sf, "videos", "video_id", "title", "transcript"), LIKENESS).pairs(expand=COPIES)
 
 
 def p1_groups(spark: SparkSession, sf: str) -> DataFrame:

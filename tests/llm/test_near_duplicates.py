@@ -41,24 +41,41 @@ def corpus(seed, families, size):
 
 def test_like_brute_force(spark):
     rows = corpus(1, 60, 4)
-    got = {(r[0], r[1]) for r in nd.Duplicates(frame(spark, rows), LIKENESS).pairs().collect()}
+    got = {(r[0], r[1]) for r in nd.Duplicates(frame(spark, rows), LIKENESS).pairs(None).collect()}
     want = brute(rows)
     assert got <= want
     assert len(got) >= 0.999 * len(want) and len(want) > 50
 
 
 def test_large_nodes(spark, monkeypatch):
-    monkeypatch.setattr(nd, "LEAF", 5)  # families of 30 branch at every level and end in blocks
+    monkeypatch.setattr(nd, "LEAF", 5)  # families of 30 are dense nodes
+    monkeypatch.setattr(nd, "BLOCK", 8)  # of several blocks
     rows = corpus(2, 4, 30)
-    got, want = {(r[0], r[1]) for r in nd.Duplicates(frame(spark, rows), LIKENESS).pairs().collect()}, brute(rows)
+    got, want = {(r[0], r[1]) for r in nd.Duplicates(frame(spark, rows), LIKENESS).pairs(None).collect()}, brute(rows)
     assert got <= want and len(got) >= 0.995 * len(want)
 
 
+def test_large_nodes_that_fall_apart_branch_on(spark, monkeypatch):
+    monkeypatch.setattr(nd, "LEAF", 4)
+    monkeypatch.setattr(nd, "DENSE", 1.1)  # no node counts as dense, so each branches until its tokens are spent
+    rows = corpus(3, 6, 12)
+    got, want = {(r[0], r[1]) for r in nd.Duplicates(frame(spark, rows), LIKENESS).pairs(None).collect()}, brute(rows)
+    assert got <= want and len(got) >= 0.95 * len(want)
+
+
+def test_a_dense_family_of_thousands(spark):
+    """5,000 different texts that are all alike: what is compared, and checked, stays near its 12.5 million pairs."""
+    base = [f"w{i}" for i in range(120)]
+    rows = [(f"v{m:05d}", "T", " ".join(base + [f"own{m}"])) for m in range(5000)]
+    got = nd.Duplicates(frame(spark, rows), LIKENESS).class_pairs()
+    assert got.count() == 5000 * 4999 // 2
+
+
 def test_edge_cases(spark):
     text = " ".join(f"w{i}" for i in range(60))
     rows = [("a", "T", text), ("b", None, text), ("c", "", text), ("c", "", text), ("d", "T", None), ("e", "T", ""), ("f", "T", "short"), (None, "T", text), ("g", None, "... " * 60), ("h", "T", text.upper()), ("i", "T", "x " * 100_000)]
     df = frame(spark, rows).selectExpr("*", "'clash' as doc", "1 as n")
-    got = {(r[0], r[1]) for r in nd.Duplicates(df, LIKENESS).pairs().collect()}
+    got = {(r[0], r[1]) for r in nd.Duplicates(df, LIKENESS).pairs(None).collect()}
     assert got == brute(rows)
     assert ("a", "h") in got and ("b", "c") in got
     groups = {r["video_id"]: r for r in nd.Duplicates(df, LIKENESS).groups().collect()}
@@ -85,14 +102,33 @@ def test_groups_query_holds_every_video_with_a_transcript(spark, data):
     assert sorted(got) == sorted({v for v, t in zip(videos["video_id"], videos["transcript"]) if t and t.strip()})
 
 
-@pytest.mark.parametrize("what", ["pairs", "groups"])
-def test_empty(spark, what):
-    assert getattr(nd.Duplicates(frame(spark, []), LIKENESS), what)().collect() == []
+def test_empty(spark):
+    assert nd.Duplicates(frame(spark, []), LIKENESS).pairs(None).collect() == []
+    assert nd.Duplicates(frame(spark, []), LIKENESS).groups().collect() == []
 
 
-def test_many_copies_stay_in_proportion(spark, monkeypatch):
-    monkeypatch.setattr(nd, "EXPANDED", 3)
+def test_exact_copies_by_the_stated_form(spark):
     text = " ".join(f"w{i}" for i in range(80))
     rows = [(f"v{i:02d}", "T", text) for i in range(40)] + [("z", "T", text + " more")]
-    got = [(r[0], r[1]) for r in nd.Duplicates(frame(spark, rows), LIKENESS).pairs().collect()]
-    assert sorted(got) == [("v00", f"v{i:02d}") for i in range(1, 40)] + [("v00", "z")]
+    form = lambda n: sorted((r[0], r[1]) for r in nd.Duplicates(frame(spark, rows), LIKENESS).pairs(n).collect())
+    short = [("v00", f"v{i:02d}") for i in range(1, 40)] + [("v00", "z")]
+    assert form(1) == form(39) == short
+    assert form(None) == form(40) == sorted(brute(rows))
+
+
+def test_a_class_of_501_copies(spark):
+    text = " ".join(f"w{i}" for i in range(80))
+    df = frame(spark, [(f"v{i:03d}", "T", text) for i in range(501)])
+    assert nd.Duplicates(df, LIKENESS).pairs(None).count() == 125_250
+    assert nd.Duplicates(df, LIKENESS).pairs(queries.COPIES).count() == 500
+    assert nd.Duplicates(df.where("video_id < 'v500'"), LIKENESS).pairs(queries.COPIES).count() == 124_750
+    groups = nd.Duplicates(df, LIKENESS).groups().collect()
+    assert len(groups) == 501 and {(r["class_id"], r["group_id"], r["n_links"]) for r in groups} == {("v000", "v000", 0)}
+
+
+def test_one_video_in_a_third_of_the_rows(spark):
+    text = " ".join(f"w{i}" for i in range(80))
+    rows = corpus(4, 20, 2)
+    df = frame(spark, rows + [("hot", "T", text)] * 2000 + [("near", "T", text + " more")])
+    got = {(r[0], r[1]) for r in nd.Duplicates(df, LIKENESS).pairs(None).collect()}
+    assert got == brute(rows + [("hot", "T", text), ("near", "T", text + " more")])
