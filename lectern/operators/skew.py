@@ -1,9 +1,10 @@
 """Per-key results where a few keys hold most rows.
 
-Rows are range-partitioned on the composite of key and secondary order, with bounds from sampled
-quantiles, so a heavy key is spread over as many partitions as it needs and every partition has
-about the same number of rows. Each partition reduces its sorted runs to one partial state a key;
-what straddles a boundary is stitched from the first and last secondary value of the partials.
+Rows are range-partitioned on the composite of key, secondary order and a hash of the row's place,
+with bounds from sampled quantiles, so a heavy key, and even one repeated pair of key and secondary
+value, is spread over as many partitions as it needs and every partition has about the same number
+of rows. Each partition reduces its sorted runs to one partial state a key; what straddles a
+boundary is stitched from the first and last secondary value of the partials.
 """
 
 from __future__ import annotations
@@ -17,46 +18,63 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PARTIAL = "part int, key string, n_rows long, n_distinct long, total long, first string, last string"
+from ..session import cut
+
+PARTIAL = "key string, n_rows long, n_distinct long, total long, first string, last string"
+NAMES = ["key", "n_rows", "n_distinct", "total", "first", "last"]
+
+
+def _differs(column: pa.Array) -> np.ndarray:
+    """Whether each value but the first differs from the one before it; null is a value."""
+    n = len(column)
+    now, before = column.slice(1), column.slice(0, n - 1)
+    either = pc.or_kleene(pc.not_equal(now, before), pc.xor(pc.is_null(now), pc.is_null(before)))
+    return pc.fill_null(either, False).to_numpy(zero_copy_only=False)
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial states of one sorted partition; a run may go on in the next batch, as partials of the
-    same key add up and the stitching removes what is counted on both sides."""
-    seq = 0
+    """One partial state of each key of a sorted partition; the last of a batch is held, as its run may
+    go on in the next."""
+    held: list | None = None
     for batch in batches:
-        n = batch.num_rows
-        if not n:
+        if not batch.num_rows:
             continue
         key, second = batch.column("key"), batch.column("second")
-        change = lambda c: pc.fill_null(
-            pc.or_kleene(
-                pc.not_equal(c.slice(1), c.slice(0, n - 1)), pc.xor(pc.is_null(c.slice(1)), pc.is_null(c.slice(0, n - 1)))
-            ),
-            False,
-        ).to_numpy(zero_copy_only=False)
-        if n > 1:
-            new_key = np.concatenate([[True], change(key)])
-            new_value = new_key | np.concatenate([[True], change(second)])
-        else:
-            new_key = new_value = np.array([True])
+        new_key = np.concatenate([[True], _differs(key)])
+        new_value = new_key | np.concatenate([[True], _differs(second)])
         known = second.is_valid().to_numpy(zero_copy_only=False)
         start = np.flatnonzero(new_key)
-        end = np.append(start[1:], n) - 1
+        end = np.append(start[1:], len(new_key)) - 1
         value = pc.fill_null(batch.column("value"), 0).to_numpy(zero_copy_only=False)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.arange(seq, seq + len(start)), pa.int32()),
-                key.take(pa.array(start)),
-                pa.array(end - start + 1, pa.int64()),
-                pa.array(np.add.reduceat((new_value & known).astype(np.int64), start)),
-                pa.array(np.add.reduceat(value.astype(np.int64), start)),
-                second.take(pa.array(start)),
-                second.take(pa.array(end)),
-            ],
-            ["part", "key", "n_rows", "n_distinct", "total", "first", "last"],
-        )
-        seq += len(start)
+        rows = list(zip(
+            key.take(pa.array(start)).to_pylist(), (end - start + 1).tolist(), np.add.reduceat((new_value & known).astype(np.int64), start).tolist(),
+            np.add.reduceat(value.astype(np.int64), start).tolist(), second.take(pa.array(start)).to_pylist(), second.take(pa.array(end)).to_pylist(),
+        ))
+        if held is not None and held[0] == rows[0][0]:
+            first = rows[0]
+            again = first[4] is not None and first[4] == held[5]
+            rows[0] = (held[0], held[1] + first[1], held[2] + first[2] - again, held[3] + first[3], held[4], first[5])
+        elif held is not None:
+            rows.insert(0, held)
+        held = rows.pop()
+        if rows:
+            yield _partials(rows)
+    if held is not None:
+        yield _partials([held])
+
+
+def _partials(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)], NAMES)
+
+
+def shared_out(df: DataFrame, key: str, second: str, value: str, partitions: int) -> DataFrame:
+    """``key, second, value`` in ranges of equal size. The third column of the order is a hash of a row's
+    place in the input, which is the same if a task is run again."""
+    slim = df.select(df[key].cast("string").alias("key"), df[second].cast("string").alias("second"), df[value].cast("long").alias("value"))
+    placed = slim.withColumn("place", F.xxhash64(F.monotonically_increasing_id()))
+    order = [F.col("key").asc_nulls_first(), F.col("second").asc_nulls_first()]
+    return placed.repartitionByRange(partitions, *order, F.col("place")).drop("place").sortWithinPartitions(*order)
 
 
 def per_key(df: DataFrame, key: str, second: str, value: str, partitions: int | None = None) -> DataFrame:
@@ -68,16 +86,15 @@ def per_key(df: DataFrame, key: str, second: str, value: str, partitions: int |
     An empty table gives no rows. Other columns are pruned, so clashing names do no harm.
 
     ``key`` and ``second`` are compared as strings. Per task the work is that of an equal share of
-    the rows, however few keys hold them: the range bounds are quantiles of (key, second).
+    the rows, however few keys hold them: the range bounds are quantiles of (key, second, place), so
+    that rows of one key and one second value, or a null one, are shared out too. No task gathers
+    more than one partial of each partition for a key.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    slim = df.select(df[key].cast("string").alias("key"), df[second].cast("string").alias("second"), df[value].cast("long").alias("value"))
-    spread = slim.repartitionByRange(n, F.col("key").asc_nulls_first(), F.col("second").asc_nulls_first())
-    ordered = spread.sortWithinPartitions(F.col("key").asc_nulls_first(), F.col("second").asc_nulls_first())
-    partials = ordered.mapInArrow(_runs, PARTIAL)
-    # A partial is small: one for each key of each batch. Neighbouring partials of one key that meet
-    # in one second value counted it twice.
+    partials = shared_out(df, key, second, value, n).mapInArrow(_runs, PARTIAL)
+    # A partial is small: one for each key of each partition. Neighbouring partials of one key that
+    # meet in one second value counted it twice.
     chain = Window.partitionBy("key").orderBy(F.col("first").asc_nulls_first(), F.col("last").asc_nulls_first())
     before = F.max("last").over(chain.rowsBetween(Window.unboundedPreceding, -1))
     stitched = partials.withColumn("again", (before == F.col("first")).cast("long"))
@@ -90,6 +107,6 @@ def per_key(df: DataFrame, key: str, second: str, value: str, partitions: int |
 
 def heavy_keys(df: DataFrame, key: str, second: str, value: str, share: float) -> DataFrame:
     """The non-null, non-empty keys that at least ``share`` of all rows of ``df`` carry."""
-    each = per_key(df, key, second, value)
+    each = cut(per_key(df, key, second, value))  # one row a key, worked out once
     total = each.agg(F.sum("n_rows").alias("all_rows"))
     return each.join(F.broadcast(total), F.col("n_rows") >= F.col("all_rows") * F.lit(Decimal(str(share)))).where("key is not null and key <> ''")

@@ -4,7 +4,7 @@ import numpy as np
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from lectern.operators.skew import heavy_keys, per_key
+from lectern.operators.skew import heavy_keys, per_key, shared_out
 
 
 def brute(rows):
@@ -29,8 +29,19 @@ def test_one_key_holds_most_rows(spark):
     rows = [("hot" if draw.random() < 0.8 else f"k{draw.integers(50)}", f"s{draw.integers(300)}", int(draw.integers(9))) for _ in range(5000)]
     df = frame(spark, rows)
     assert found(df, 16) == brute(rows)
-    spread = [len(p) for p in df.repartitionByRange(16, "k", "s").rdd.glom().collect()]
-    assert max(spread) < 1500  # the hot key's 4000 rows are in several tasks
+    assert max(parts(df, 16)) < 2 * 5000 / 16
+
+
+def parts(df, n):
+    return [len(p) for p in shared_out(df, "k", "s", "v", n).rdd.glom().collect()]
+
+
+def test_one_pair_of_key_and_second_value_holds_most_rows(spark):
+    for second in (None, "one"):
+        rows = [("hot", second, 1)] * 16_000 + [(f"k{i % 40}", f"s{i}", 2) for i in range(4000)]
+        df = frame(spark, rows).repartition(5)
+        assert max(parts(df, 8)) < 2 * 20_000 / 8
+        assert found(df, 8) == brute(rows)
 
 
 def test_a_second_value_over_several_partitions_counts_once(spark):
