@@ -95,12 +95,21 @@ def shuffled(key: Column, seed: str) -> list[Column]:
     return [F.md5(F.concat(key.cast("string"), F.lit(f":{seed}"))), key]
 
 
-def category(title: Column, university: Column) -> Column:
-    """Our own small taxonomy by title, then by source."""
-    return (
-        F.when(matches(title, r"(?iU)\b(lecture|vorlesung|clase|cours|aula|лекция)\b"), "lecture")
-        .when(matches(title, r"(?iU)\b(tutorial|step by step|how to)\b"), "tutorial")
-        .when(matches(title, r"(?iU)\b(q&a|q&amp;a|questions and answers)\b"), "discussion")
-        .when(matches(university, r"(?iU)universi|institut|college|academy"), "institution")
-        .otherwise("other")
-    )
+def before_last_part(text: Column, mark: str) -> Column:
+    """What stands between the last two ``mark``; null if there is no such part."""
+    parts = F.split(text, mark)
+    return F.when(F.size(parts) > 1, F.try_element_at(parts, F.lit(-2)))
+
+
+def category(title: Column, source: Column, priority: Column) -> Column:
+    """One of 16 categories, by the source, then by the title, then by the priority; null if nothing is
+    known of the video. The categories are the published ones; the rules are our own."""
+    by_source, by_title = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for name, source_words, title_words in reversed(P.CATEGORIES):
+        if source_words:
+            by_source = F.when(matches(source, "(?iU)" + source_words), name).otherwise(by_source)
+        if title_words:
+            by_title = F.when(matches(title, "(?iU)" + title_words), name).otherwise(by_title)
+    nothing = (F.coalesce(source, F.lit("")) == "") & (F.coalesce(title, F.lit("")) == "") & priority.isNull()
+    fallback = F.when(priority >= 8, "university_lecture").when(~nothing, "unknown")
+    return F.coalesce(by_source, by_title, fallback)

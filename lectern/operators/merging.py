@@ -6,16 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def first_by_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The row of the smallest ``order`` for each key: one aggregation with map-side combining."""
-    rest = [c for c in df.columns if c not in (key, order)]
+def _names(key: str | list[str]) -> list[str]:
+    return [key] if isinstance(key, str) else key
+
+
+def first_by_key(df: DataFrame, key: str | list[str], order: str) -> DataFrame:
+    """The row of the smallest ``order`` for each key: one aggregation with map-side combining. Rows with a
+    null in the key have none."""
+    keys = _names(key)
+    rest = [c for c in df.columns if c not in (*keys, order)]
     best = F.min(F.struct(order, *rest)).alias("__r")
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(best).select(key, f"__r.{order}", *(f"__r.{c}" for c in rest))
+    return df.dropna(subset=keys).groupBy(*keys).agg(best).select(*keys, f"__r.{order}", *(f"__r.{c}" for c in rest))
 
 
-def insert_absent(new: DataFrame, table: DataFrame, key: str, order: str) -> DataFrame:
+def insert_absent(new: DataFrame, table: DataFrame, key: str | list[str], order: str) -> DataFrame:
     """Rows of ``new`` to append: keys that ``table`` lacks, the first arrival of each."""
-    return first_by_key(new.join(table.select(key), key, "left_anti"), key, order)
+    keys = _names(key)
+    return first_by_key(new.join(table.select(*keys), keys, "left_anti"), keys, order)
 
 
 def merge(table: DataFrame, update: DataFrame, key: str, changes: dict[str, Column]) -> DataFrame:

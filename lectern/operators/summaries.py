@@ -9,11 +9,11 @@ from ..session import cut
 
 
 def distribution(df: DataFrame, column: str, n: str = "n") -> DataFrame:
-    """Rows by value, and their share of all rows in per cent."""
+    """Rows by value, and their share of all rows in per cent, the most frequent first."""
     counted = df.groupBy(column).agg(F.count(F.lit(1)).alias(n))
     # one row a value of a small domain
     total = F.sum(n).over(Window.partitionBy(F.lit(1)))
-    return counted.withColumn("percent", F.round(F.col(n).cast("double") * 100.0 / total.cast("double"), 4))
+    return counted.withColumn("percent", F.round(F.col(n).cast("double") * 100.0 / total.cast("double"), 4)).orderBy(F.desc(n), F.asc_nulls_last(column))
 
 
 def running(df: DataFrame, group: str, order: list[str], value: str) -> DataFrame:

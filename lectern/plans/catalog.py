@@ -5,13 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import rules as R
-from ..operators import frontier, merging, ranking, summaries
-from ..sources import feeds
+from ..operators import admission, frontier, merging, ranking, summaries, transitions
+from ..sources import exports, feeds
 from ..streaming.arrivals import events_by_day
 from ..session import table
 
@@ -55,7 +55,12 @@ def url_build(spark, sf):
 
 @query
 def truncate_text(spark, sf):
-    return table(spark, sf, "videos").select("id", F.substring("title", 1, 20).alias("title_head"), F.substring("description", 1, 50).alias("description_head"))
+    """The lengths to which texts are cut: names 30, titles 60, 200 and 500, errors 500, descriptions 5000."""
+    cut = lambda c, n: F.substring(c, 1, n)
+    return table(spark, sf, "videos").select(
+        "id", cut("university", 30).alias("name_30"), cut("title", 60).alias("title_60"), cut("title", 200).alias("title_200"), cut("transcript", 500).alias("text_500"),
+        cut("error", 500).alias("error_500"), F.md5(cut("description", 5000)).alias("description_5000"),
+    )
 
 
 @query
@@ -65,8 +70,15 @@ def title_clean(spark, sf):
 
 @query
 def url_label(spark, sf):
+    """Labels from addresses: the last part, the one before it, a channel's address without ``/videos``, and
+    the start of what follows ``v=`` or ``list=``."""
     url = F.col("url")
-    return table(spark, sf, "videos").select("id", R.last_part(url, "/").alias("tail"), F.substring(R.last_part(url, "v="), 1, 20).alias("label"))
+    listed = F.concat(url, F.lit("&list=PL"), F.md5("video_id"))
+    return table(spark, sf, "videos").select(
+        "id", R.last_part(url, "/").alias("tail"), R.before_last_part(F.concat(url, F.lit("/videos")), "/").alias("parent"),
+        R.last_part(F.replace(F.concat(url, F.lit("/videos")), F.lit("/videos"), F.lit("")), "/").alias("channel"),
+        F.substring(R.last_part(url, "v="), 1, 20).alias("label"), F.substring(R.last_part(listed, "list="), 1, 20).alias("playlist"),
+    )
 
 
 @query
@@ -94,7 +106,7 @@ def priority_tier(spark, sf):
 
 @query
 def content_category(spark, sf):
-    return table(spark, sf, "videos").select("id", R.category(F.col("title"), F.col("university")).alias("category"))
+    return table(spark, sf, "videos").select("id", R.category(F.col("title"), F.col("university"), F.col("priority")).alias("category"))
 
 
 @query
@@ -150,8 +162,9 @@ def needs_description(spark, sf):
 
 @query
 def known_channels(spark, sf):
-    rows = table(spark, sf, "videos").where("university ilike 'dept%' or university like '%Talks'")
-    return rows.select("university").distinct()
+    """Sources that are an address or a handle; of a video without a source, its own address."""
+    source = R.falsy_default(F.col("university"), F.col("url"))
+    return table(spark, sf, "videos").select(source.alias("source")).where("source ilike 'http%' or source ilike '@%'").distinct()
 
 
 @query
@@ -189,45 +202,78 @@ def license_scan(spark, sf):
 
 
 @query
-def playlist_extract(spark, sf):
+def watch_links(spark, sf):
     return feeds.links(table(spark, sf, "raw_entries"), ["arrival"], "line", r"watch\?v=([A-Za-z0-9_-]{11})")
 
 
+def pages(spark, sf) -> DataFrame:
+    """Pages with links to playlists, and playlists of their own, made from ids, as the tables have none."""
+    mark = F.substring(F.md5("video_id"), 1, 8)
+    linked = F.concat(F.lit("see https://videos.example/playlist?list=PL"), mark, F.lit(" and watch?v=x&list=PL_"), (F.col("id") % 5).cast("string"), F.lit("-a"))
+    text = F.when(F.col("id") % 3 == 0, linked).when(F.col("id") % 3 == 2, "no links, list=UUabc")
+    own = F.when(F.col("id") % 4 == 0, F.concat(F.lit("PL"), mark)).when(F.col("id") % 4 == 1, F.concat(F.lit("UU"), mark))
+    return table(spark, sf, "videos").select("id", text.alias("text"), own.alias("playlist_id"))
+
+
+@query
+def playlist_extract(spark, sf):
+    return feeds.playlists(pages(spark, sf), ["id"], "text", "playlist_id")
+
+
+@query
+def playlist_videos(spark, sf):
+    """The videos of each channel's own list of uploads, at most 500 a list in order of arrival."""
+    got = feeds.valid_entries(table(spark, sf, "raw_entries")).where("channel_id like 'UC%'").select("channel_id", "video_id", "arrival")
+    listed = table(spark, sf, "channels").select("channel_id", F.concat(F.lit("UU"), F.substring("channel_id", 3, 100)).alias("playlist_id"))
+    once = merging.first_by_key(listed.join(got, "channel_id").select("playlist_id", "video_id", "arrival"), ["playlist_id", "video_id"], "arrival")
+    return ranking.first_per_group(once, ["playlist_id"], [F.col("arrival")], 500)
+
+
 # Admission of new entries
 
 
-def _admitted(spark, sf, long_enough, reject: str | None, high: int, low: int, boost: str, mark: str) -> DataFrame:
-    got = feeds.valid_entries(table(spark, sf, "raw_entries"))
-    kept = got.where(long_enough & ~R.matches(F.col("title"), reject)) if reject else got.where(long_enough)
-    priority = F.when(R.matches(F.col("title"), boost), high).otherwise(low)
-    first = merging.first_by_key(kept.select("video_id", "arrival", "title", "duration"), "video_id", "arrival")
-    return first.select("video_id", "arrival", F.coalesce("duration", F.lit(0.0)).alias("duration"), priority.alias("priority"), F.concat(F.lit(f"{mark}:"), F.col("video_id")).alias("origin"))
+def _admitted(spark, sf, profile: str) -> DataFrame:
+    return admission.admitted(feeds.valid_entries(table(spark, sf, "raw_entries")), profile)
 
 
 @query
 def admit_related(spark, sf):
-    return _admitted(spark, sf, R.known_long(F.col("duration")), P.words(P.SHORT_REJECT), 8, 5, P.words(P.BOOST, P.FOREIGN_BOOST), "related")
+    return _admitted(spark, sf, "related")
 
 
 @query
 def admit_channel(spark, sf):
-    return _admitted(spark, sf, R.null_or_long(F.col("duration")), P.words(P.SHORT_REJECT), 8, 5, P.words(P.BOOST, P.FOREIGN_BOOST), "channel")
+    return _admitted(spark, sf, "channel")
 
 
 @query
 def admit_cc(spark, sf):
-    return _admitted(spark, sf, R.known_long(F.col("duration")), P.words(P.SHORT_REJECT, P.RELIGIOUS), 9, 7, P.words(P.BOOST), "cc")
+    return _admitted(spark, sf, "cc")
 
 
 @query
 def admit_safe(spark, sf):
-    return _admitted(spark, sf, R.known_long(F.col("duration")), P.words(P.SHORT_REJECT, P.RELIGIOUS, P.CONSPIRACY), 8, 5, P.words(P.BOOST, P.BRAND_BOOST, P.FOREIGN_BOOST), "safe")
+    return _admitted(spark, sf, "safe")
 
 
 @query
 def admit_boot10m(spark, sf):
-    boost = P.words(P.BOOST, P.BRAND_BOOST, P.GRADUATE_BOOST, P.FOREIGN_BOOST)
-    return _admitted(spark, sf, R.known_long(F.col("duration")), P.words(P.SHORT_REJECT, P.WIDE_REJECT), 8, 5, boost, "boot10m")
+    return _admitted(spark, sf, "boot10m")
+
+
+@query
+def admit_boot1m(spark, sf):
+    return _admitted(spark, sf, "boot1m")
+
+
+@query
+def admit_aggressive(spark, sf):
+    return _admitted(spark, sf, "aggressive")
+
+
+@query
+def admit_mega(spark, sf):
+    return _admitted(spark, sf, "mega")
 
 
 @query
@@ -239,30 +285,54 @@ def legacy_import(spark, sf):
     return merging.first_by_key(rows, "video_id", "arrival").withColumn("priority", tier)
 
 
+def done_videos(spark, sf) -> DataFrame:
+    """A queue that holds the completed videos only, so that entries are new to it."""
+    return table(spark, sf, "videos").where("status = 'completed'").select("video_id")
+
+
 @query
 def insert_new(spark, sf):
     got = feeds.valid_entries(table(spark, sf, "raw_entries")).select("video_id", "arrival", "title", "duration")
-    return merging.insert_absent(got, table(spark, sf, "videos"), "video_id", "arrival")
+    return merging.insert_absent(got, done_videos(spark, sf), "video_id", "arrival")
+
+
+@query
+def edges_insert(spark, sf):
+    """Links found after the first of the month that are not among the earlier ones, each pair once."""
+    found = table(spark, sf, "channel_discoveries").select("id", "from_channel", "to_channel", "discovered_at")
+    early = F.col("discovered_at") < F.lit("2026-01-05 12:00:00").cast("timestamp_ntz")
+    return merging.insert_absent(found.where(~early).drop("discovered_at"), found.where(early), ["from_channel", "to_channel"], "id")
 
 
 @query
 def channel_extract(spark, sf):
+    """Channels of entries that are not among those crawled already."""
     got = feeds.entries(table(spark, sf, "raw_entries")).where("channel_id like 'UC%'").select("channel_id").distinct()
-    return got.join(table(spark, sf, "channels").select("channel_id"), "channel_id", "left_anti")
+    return got.join(table(spark, sf, "channels").where("status = 'crawled'").select("channel_id"), "channel_id", "left_anti")
 
 
 @query
 def channel_verdict(spark, sf):
-    """Channels whose name is not refused and whose first 50 entries are often teaching or long;
-    a channel without entries passes."""
-    got = feeds.entries(table(spark, sf, "raw_entries")).where("channel_id is not null").select("channel_id", "arrival", "title", "duration")
+    """Channels whose name is not refused and whose first 50 entries are often teaching or long are crawled, others
+    rejected; a channel without entries is not rejected for it. ``n_videos``: its entries; ``n_inserted``: the
+    videos among them that are admitted and new, if it is crawled."""
+    got = feeds.valid_entries(table(spark, sf, "raw_entries")).where("channel_id is not null").select("channel_id", "video_id", "arrival", "title", "duration")
     first = ranking.first_per_group(got, ["channel_id"], [F.col("arrival")], 50)
-    teaching = R.matches(F.col("title"), P.words(P.BOOST, P.FOREIGN_BOOST)).cast("double")
+    teaching = R.matches(F.col("title"), P.words(P.BOOST, P.FOREIGN_BOOST, P.FRENCH_BOOST)).cast("double")
     long = F.coalesce(F.col("duration") >= 900, F.lit(False)).cast("double")
     shares = first.groupBy("channel_id").agg(F.avg(teaching).alias("teaching"), F.avg(long).alias("long"))
-    rows = table(spark, sf, "channels").select("channel_id", "channel_name").join(shares, "channel_id", "left")
+    counts = got.groupBy("channel_id").agg(F.count(F.lit(1)).alias("n_videos"))
+    admitted = admission.admitted(got, "channel").join(done_videos(spark, sf), "video_id", "left_anti").select("video_id", "arrival")
+    inserted = admitted.join(got.select("arrival", "channel_id"), "arrival").groupBy("channel_id").agg(F.count(F.lit(1)).alias("n_inserted"))
+    rows = table(spark, sf, "channels").select("channel_id", "channel_name")
+    for part in (shares, counts, inserted):
+        rows = rows.join(part, "channel_id", "left")
     good = F.col("teaching").isNull() | (F.col("teaching") >= 0.2) | (F.col("long") >= 0.3)
-    return rows.select("channel_id", (~R.matches(F.col("channel_name"), P.words(P.REJECT_CHANNEL)) & good).alias("worth"))
+    worth = ~R.matches(F.col("channel_name"), P.words(P.REJECT_CHANNEL)) & good
+    return rows.select(
+        "channel_id", F.when(worth, "crawled").otherwise("rejected").alias("status"), F.coalesce("n_videos", F.lit(0)).alias("n_videos"),
+        F.when(worth, F.coalesce("n_inserted", F.lit(0))).alias("n_inserted"),
+    )
 
 
 # Queue: sampling, claims and transitions
@@ -272,22 +342,65 @@ def _claimable(spark, sf) -> DataFrame:
     return table(spark, sf, "videos").where((F.col("status") == "pending") & R.known_long(F.col("duration_seconds")))
 
 
-@query
-def claim_batch(spark, sf):
+def _now() -> Column:
+    return F.lit("2026-02-01 00:00:00").cast("timestamp_ntz")
+
+
+def _sampled(rows: DataFrame) -> DataFrame:
+    """``id, bucket`` of a claim: by the quotas, or 15 of any not refused if no bucket has a row."""
     not_red, high = F.col("license_risk") != "red", F.col("priority") >= 8
     short = F.col("duration_seconds") < 3600
     conditions = {
         "green": F.col("license_risk") == "green", "first_short": not_red & high & short, "first_long": not_red & high & ~short,
         "other_short": not_red & ~high & short, "other_long": not_red & ~high & ~short,
     }
-    buckets = {name: (condition, QUOTA[name]) for name, condition in conditions.items()}
-    return ranking.sample_buckets(_claimable(spark, sf), buckets, "id", R.shuffled(F.col("id"), SEED))
+    order = R.shuffled(F.col("id"), SEED)
+    taken = ranking.sample_buckets(rows, {name: (condition, QUOTA[name]) for name, condition in conditions.items()}, "id", order)
+    spare = rows.where("license_risk is null or license_risk <> 'red'").orderBy(*order).limit(15)
+    return transitions.or_else(taken, spare.select("id", F.lit("any").alias("bucket")))
+
+
+@query
+def claim_batch(spark, sf):
+    return _sampled(_claimable(spark, sf))
 
 
 @query
 def claim_fallback(spark, sf):
-    rows = _claimable(spark, sf).where("license_risk is null or license_risk <> 'red'")
-    return rows.orderBy(*R.shuffled(F.col("id"), SEED)).limit(15).select("id", "video_id")
+    """A claim from videos of unknown risk, for which no bucket has a row."""
+    return _sampled(_claimable(spark, sf).where("license_risk is null"))
+
+
+@query
+def claim_rows(spark, sf):
+    """The rows a claim changes, with the title that goes to the worker."""
+    rows = transitions.claimed(table(spark, sf, "videos"), _sampled(_claimable(spark, sf)), "id", _now())
+    return rows.select("id", "video_id", "title", "status", "processing_started_at")
+
+
+@query
+def finish_rows(spark, sf):
+    """Results for all videos in processing: failures, recordings too short, blank and whole texts."""
+    queue = table(spark, sf, "videos").where("status = 'processing'")
+    failure = F.when(F.col("id") % 5 == 0, "download_failed").when(F.col("id") % 5 == 1, F.concat(F.lit("ERROR: "), F.repeat(F.col("video_id"), 60)))
+    probed = F.when(F.col("id") % 7 == 0, 2.5).otherwise(F.coalesce("duration_seconds", F.lit(600.0)))
+    text = F.when(F.col("id") % 3 == 0, F.lit("  ")).otherwise(F.concat(F.lit(" text of "), F.col("video_id"), F.lit(" ")))
+    results = queue.select("id", text.alias("text"), probed.alias("probed_seconds"), (F.col("id") % 11).cast("double").alias("seconds"), failure.alias("failure"))
+    rows = transitions.finished(queue, results, "id", _now())
+    return rows.select(
+        "id", "status", "error", F.col("transcript").alias("text"), F.round("duration_seconds", 3).alias("duration_seconds"), "processing_time_seconds",
+        F.round("speed_ratio", 3).alias("speed_ratio"), "completed_at",
+    )
+
+
+@query
+def describe_rows(spark, sf):
+    """A fetch of descriptions for every video whose licence was asked for; those unavailable failed."""
+    last = feeds.scanned_licences(table(spark, sf, "license_responses")).groupBy("video_id").agg(F.max_by("licence", "request_id").alias("licence"))
+    text = F.when(F.ascii("video_id") % 4 == 0, "Notes. Licensed under a creative commons licence.").otherwise(F.repeat(F.col("video_id"), 600))
+    fetched = last.select("video_id", text.alias("text"), "licence", (F.col("licence") != "unavailable").alias("ok"))
+    rows = transitions.described(table(spark, sf, "videos"), fetched, "video_id")
+    return rows.select("id", F.length("description").alias("n_chars"), F.md5("description").alias("description_md5"), "youtube_license", "license_risk")
 
 
 @query
@@ -367,6 +480,12 @@ def query_gen(spark, sf):
     return asked.select(F.concat(F.replace("form", F.lit("{}"), F.col("subject_code")), F.lit(" in "), F.col("english_name")).alias("question"))
 
 
+@query
+def query_shuffle(spark, sf):
+    """The questions in an order that a seed determines, ``place`` from 1; the first 30 are a sample."""
+    return ranking.global_rank(query_gen(spark, sf), R.shuffled(F.col("question"), SEED), "place").where("place <= 30")
+
+
 # Frontier
 
 
@@ -378,9 +497,9 @@ def frontier_unexplored(spark, sf):
 
 @query
 def snowball_round(spark, sf):
-    channels = table(spark, sf, "channels")
-    start = channels.where("status = 'crawled'").select(F.col("channel_id").alias("node"))
-    return frontier.one_round(frontier.clean_edges(table(spark, sf, "channel_discoveries")), start, channels.select(F.col("channel_id").alias("node")))
+    """Channels linked from those crawled that are not crawled themselves."""
+    crawled = table(spark, sf, "channels").where("status = 'crawled'").select(F.col("channel_id").alias("node"))
+    return frontier.one_round(frontier.clean_edges(table(spark, sf, "channel_discoveries")), crawled, crawled)
 
 
 @query
@@ -438,11 +557,18 @@ def cc_channels(spark, sf):
 
 @query
 def monitor_stats(spark, sf):
+    """Counts, hours, tokens by two estimates (characters and hours), and the rate of completion."""
     done = F.col("status") == "completed"
     speed = F.when(F.col("speed_ratio") > 0, F.col("speed_ratio"))
-    return table(spark, sf, "videos").agg(
-        F.count_if(done).alias("n_done"), F.round(F.coalesce(F.sum(F.when(done, F.col("duration_seconds"))), F.lit(0.0)) / 3600, 3).alias("hours"),
+    held = table(spark, sf, "videos").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(done).alias("n_done"), F.coalesce(F.sum(F.when(done, F.col("duration_seconds"))), F.lit(0.0)).alias("s"),
         F.round(F.coalesce(F.avg(speed), F.lit(0.0)), 4).alias("mean_speed"), F.coalesce(F.sum(F.length("transcript")), F.lit(0)).alias("n_chars"),
+        F.expr("timestampdiff(second, min(processing_started_at), max(completed_at))").alias("elapsed_seconds"),
+    )
+    return held.select(
+        "n_done", F.round(F.col("s") / 3600, 3).alias("hours"), "mean_speed", "n_chars", F.floor(F.col("n_chars") / 4).alias("tokens_by_chars"),
+        F.round(F.col("s") / 3600 * 12_000, 1).alias("tokens_by_hours"), "elapsed_seconds",
+        F.round(F.col("n_done") * 3600.0 / F.greatest("elapsed_seconds", F.lit(1)), 4).alias("done_per_hour"), F.round(F.col("n_done") * 100.0 / F.greatest("n", F.lit(1)), 4).alias("percent_done"),
     )
 
 
@@ -454,15 +580,18 @@ def recent_speed(spark, sf):
 
 @query
 def progress_milestone(spark, sf):
-    rows = table(spark, sf, "videos").where("status = 'pending'")
-    counted = rows.agg(F.count(F.lit(1)).alias("n"), F.round(F.coalesce(F.sum("duration_seconds"), F.lit(0.0)) / 3600, 3).alias("hours"))
-    return counted.withColumn("milestone", F.when(F.col("n") >= 1_000_000, "1M").when(F.col("n") >= 100_000, "100K").when(F.col("n") >= 1000, "1K").otherwise("start"))
+    """Hours that wait, in per cent of a million, their milestone, and whether ten million rows are reached."""
+    waiting = F.col("status") == "pending"
+    seconds = F.coalesce(F.sum(F.when(waiting, F.col("duration_seconds"))), F.lit(0.0))
+    counted = table(spark, sf, "videos").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(waiting).alias("n"), (seconds / 3600).alias("h"))
+    milestone = F.when(F.col("h") >= 1_000_000, "1M").when(F.col("h") >= 500_000, "500K").when(F.col("h") >= 100_000, "100K").otherwise("start")
+    return counted.select("n", F.round("h", 3).alias("hours"), F.round(F.col("h") / 10_000, 6).alias("percent"), milestone.alias("milestone"), (F.col("n_rows") >= 10_000_000).alias("stop"))
 
 
 @query
 def worker_running(spark, sf):
     return summaries.running(table(spark, sf, "events"), "user_id", ["ts", "event_id"], "value").where("seen <= 3 or seen % 5 = 0").select(
-        "event_id", "user_id", "seen", F.round("running_total", 2).alias("running_total")
+        "event_id", "user_id", "seen", F.round("running_total", 2).alias("running_total"), F.round(F.round("running_total", 2) / F.col("seen"), 6).alias("running_mean")
     )
 
 
@@ -483,14 +612,8 @@ def licensing_targets(spark, sf):
 
 @query
 def export_transcripts(spark, sf):
-    rows = table(spark, sf, "videos").where("status = 'completed' and transcript is not null")
-    return rows.select(
-        "id", "video_id", R.falsy_default(F.col("title"), F.lit("")).alias("title"), F.col("transcript").alias("text"),
-        F.coalesce(F.col("duration_seconds").cast("bigint"), F.lit(0)).alias("duration_seconds"), R.falsy_default(F.col("university"), F.col("course"), F.lit("")).alias("source"),
-        R.watch_url(F.col("video_id")).alias("url"), F.coalesce(F.nullif("priority", F.lit(0)), F.lit(5)).alias("priority"),
-        F.round(F.coalesce("speed_ratio", F.lit(0.0)), 1).alias("speed_ratio"), R.falsy_default(F.col("content_category"), F.lit("")).alias("content_category"),
-        R.falsy_default(F.col("license_risk"), F.lit("")).alias("license_risk"),
-    )
+    rows, names = exports.transcript_records(table(spark, sf, "videos"))
+    return rows.select(F.col("__id").alias("id"), *names)
 
 
 @query
@@ -502,12 +625,8 @@ def export_shards(spark, sf):
 
 @query
 def export_queue(spark, sf):
-    return table(spark, sf, "videos").select(
-        "id", "video_id", R.falsy_default(F.col("title"), F.lit("")).alias("title"), R.falsy_default(F.col("url"), R.watch_url(F.col("video_id"))).alias("url"),
-        F.coalesce(F.col("duration_seconds").cast("bigint"), F.lit(0)).alias("duration_seconds"), R.falsy_default(F.col("status"), F.lit("pending")).alias("status"),
-        F.coalesce(F.nullif("priority", F.lit(0)), F.lit(5)).alias("priority"), R.falsy_default(F.col("university"), F.lit("")).alias("source"),
-        R.falsy_default(F.col("content_category"), F.lit("unknown")).alias("content_category"), R.falsy_default(F.col("license_risk"), F.lit("yellow")).alias("license_risk"),
-    )
+    rows, names = exports.queue_records(table(spark, sf, "videos"))
+    return rows.select(F.col("__id").alias("id"), *names)
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 from pathlib import Path
@@ -19,6 +20,7 @@ def build_session(app: str = "lectern", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings |= {key.replace("__", "."): value for key, value in conf.items()}
     for key, value in settings.items():
@@ -38,6 +40,7 @@ def ship(spark: SparkSession) -> None:
         shutil.copytree(root, folder / "code" / root.name, ignore=shutil.ignore_patterns("__pycache__"))
         context.addPyFile(shutil.make_archive(str(folder / "lectern"), "zip", folder / "code"))
         shutil.rmtree(folder / "code")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context._lectern_shipped = True
 
 
@@ -55,13 +58,18 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names in ``spark.checkpoint.dir``; only where none is set
-    (local tests) a temporary one is made."""
+    """Use the shared folder the cluster names in ``spark.checkpoint.dir``. Where none is named, one on this
+    machine is made if the session runs on it alone; on a cluster that is an error."""
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
     named = context.getConf().get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lectern-checkpoint-"))
+    if not named and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not named:
+        named = tempfile.mkdtemp(prefix="lectern-checkpoint-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
+    context.setCheckpointDir(named)
 
 
 def cut(df: DataFrame) -> DataFrame:

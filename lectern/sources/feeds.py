@@ -72,3 +72,13 @@ def segments(df: DataFrame, key: str, text: str) -> DataFrame:
 def links(df: DataFrame, keys: list[str], text: str, pattern: str) -> DataFrame:
     """``keys, link`` for every match of the pattern's first group."""
     return df.select(*keys, F.explode(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(1))).alias("link")).distinct()
+
+
+#: The id of a playlist in an address.
+PLAYLIST = r"(?:list=|/playlist\?list=)(PL[A-Za-z0-9_-]+)"
+
+
+def playlists(df: DataFrame, keys: list[str], text: str, own: str) -> DataFrame:
+    """``keys, link``: every playlist a text links to, and the record's own one, if its id begins with PL."""
+    of_its_own = df.where(F.col(own).startswith("PL")).select(*keys, F.col(own).alias("link"))
+    return links(df, keys, text, PLAYLIST).unionByName(of_its_own).distinct()

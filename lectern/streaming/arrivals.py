@@ -12,24 +12,29 @@ from ..session import table
 ARRIVING = "id string, title string, duration double"
 
 
-def arriving_entries(spark: SparkSession, folder: str, glob: str = "*_videos.json") -> DataFrame:
+def arriving_entries(spark: SparkSession, folder: str, glob: str = "{*_videos,playlist_*}.json") -> DataFrame:
     """Entries of JSON-lines files as they arrive; the checkpoint of the query remembers the files."""
     lines = spark.readStream.schema(ARRIVING).option("pathGlobFilter", glob).option("mode", "DROPMALFORMED").json(folder)
     return lines.where("length(id) = 11").withColumnRenamed("id", "video_id")
 
 
+def held_ids(spark: SparkSession, queue: str) -> DataFrame:
+    """The ids of the Parquet folder ``queue``; none if there is no such folder yet. Any other fault is raised."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(queue)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], "video_id string")
+    return spark.read.schema("video_id string").parquet(queue)
+
+
 def into_queue(stream: DataFrame, queue: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Append to the Parquet folder ``queue`` what it lacks, the first arrival of each id. A batch
-    that is run again after a failure finds its rows there and appends nothing twice."""
+    that is run again after a failure finds its rows there and appends nothing twice. Of the queue
+    only the column of ids is read."""
     spark = stream.sparkSession
 
     def add(batch: DataFrame, number: int) -> None:
         numbered = batch.withColumn("arrival", F.monotonically_increasing_id())
-        try:
-            held = spark.read.parquet(queue).select("video_id")
-        except Exception:  # the folder is not there before the first batch
-            held = spark.createDataFrame([], "video_id string")
-        insert_absent(numbered, held, "video_id", "arrival").drop("arrival").write.mode("append").parquet(queue)
+        insert_absent(numbered, held_ids(spark, queue), "video_id", "arrival").drop("arrival").write.mode("append").parquet(queue)
 
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 

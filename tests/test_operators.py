@@ -1,11 +1,12 @@
 import json
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from lectern.operators import frontier, merging, ranking, summaries
+from lectern.operators import admission, frontier, merging, ranking, summaries, transitions
 from lectern.session import table
-from lectern.sources import feeds, sinks
+from lectern.sources import exports, feeds, sinks
 from lectern.streaming import arrivals
 
 
@@ -84,22 +85,75 @@ def test_distribution_and_running(spark):
     assert summaries.distribution(df.limit(0), "k").count() == 0
 
 
-def test_sinks(spark, tmp_path):
-    df = spark.createDataFrame([(0, "é ü 数"), (0, "b"), (1, "c")], "shard int, title string")
-    sinks.write_json_shards(df, str(tmp_path / "out"))
-    files = sorted((tmp_path / "out").rglob("part-*"))
-    assert len(files) == 2 and "数" in files[0].read_text(encoding="utf-8")
-    assert sinks.card({"n_rows": 3}, "Data") == "# Data\n\n- n rows: 3\n"
-
-
-def test_export_dataset(spark, tmp_path):
-    df = spark.range(10).selectExpr("id", "concat('t', id) as title", "if(id = 3, null, id) as x")
-    assert sinks.export_dataset(df, str(tmp_path / "out"), [F.desc("id")], 4, "Data") == {"n_rows": 10, "n_files": 3}
-    rows = [json.loads(x) for f in sorted((tmp_path / "out/data").rglob("part-*")) for x in f.read_text().splitlines()]
-    assert sorted(r["id"] for r in rows) == list(range(10))
-    first = [json.loads(x)["id"] for f in (tmp_path / "out/data/shard=0").glob("part-*") for x in f.read_text().splitlines()]
-    assert sorted(first) == [6, 7, 8, 9]
-    assert "n files: 3" in next((tmp_path / "out/card").glob("part-*")).read_text()
+def lines(path):
+    return {f.name: [json.loads(x) for x in f.read_text(encoding="utf-8").splitlines()] for f in sorted(path.glob("*.jsonl"))}
+
+
+@pytest.mark.parametrize("n", [0, 8, 10])
+def test_shards_keep_order_names_and_nulls(spark, tmp_path, n):
+    df = spark.range(n).selectExpr("id", "concat('é 数 ', id) as title", "if(id = 3, null, id) as x").repartition(5)
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out/train-00007.jsonl").write_text("{}")  # of an earlier, larger export
+    ranked = sinks.write_json_shards(df, ["id", "title", "x"], [F.desc("id")], 4, str(tmp_path / "out"))
+    got = lines(tmp_path / "out")
+    assert list(got) == [f"train-{k:05d}.jsonl" for k in range(-(-n // 4))]
+    rows = [r for part in got.values() for r in part]
+    assert [r["id"] for r in rows] == list(range(n))[::-1] and all(list(r) == ["id", "title", "x"] for r in rows)
+    assert [r["x"] for r in rows if r["id"] == 3] == [None] * (n > 3)
+    assert all(len(part) == 4 for part in list(got.values())[:-1]) and ranked.count() == n
+    assert not (tmp_path / "out/_parts").exists() and all("数" in r["title"] for r in rows)
+
+
+def test_transcripts_export(spark, data, tmp_path):
+    videos = table(spark, data, "videos")
+    stats = exports.export_transcripts(videos, str(tmp_path), 40)
+    pdf = videos.where("status = 'completed' and transcript is not null").toPandas()
+    want = pdf.sort_values(["priority", "completed_at", "id"], ascending=[False, True, True], na_position="last")
+    got = lines(tmp_path)
+    rows = [r for part in got.values() for r in part]
+    assert len(got) == stats["Files"] == -(-len(pdf) // 40) and [r["text"] for r in rows] == want["transcript"].tolist()
+    assert stats["Characters"] == int(pdf["transcript"].str.len().sum()) and rows[0].keys() >= {"video_id", "url", "speed_ratio", "license_risk"}
+    card = (tmp_path / "README.md").read_text(encoding="utf-8")
+    assert f"- **Videos**: {len(pdf):,}" in card and "| `speed_ratio` |" in card and "n<1K" in card
+    again = exports.export_transcripts(videos.limit(0), str(tmp_path), 40)
+    assert again["Videos"] == 0 and lines(tmp_path) == {}
+
+
+def test_queue_export(spark, data, tmp_path):
+    videos = table(spark, data, "videos")
+    stats = exports.export_queue(videos, str(tmp_path / "all"), 100)
+    rows = [r for part in lines(tmp_path / "all").values() for r in part]
+    assert len(rows) == stats["Videos"] == videos.count() and stats["Files"] == 3
+    card = (tmp_path / "all/README.md").read_text(encoding="utf-8")
+    assert all(f"## {t}" in card for t in ("Status", "Priority", "Category", "Risk")) and "🟢 green" in card
+    exports.export_queue(videos.drop("content_category", "license_risk"), str(tmp_path / "few"), 1000)
+    few = lines(tmp_path / "few")["train-00000.jsonl"]
+    assert "license_risk" not in few[0] and "## Risk" not in (tmp_path / "few/README.md").read_text(encoding="utf-8")
+
+
+def test_a_claim_falls_back_only_if_all_buckets_are_empty(spark):
+    some, none, spare = spark.range(2), spark.range(0), spark.range(10, 13)
+    assert sorted(r["id"] for r in transitions.or_else(some, spare).collect()) == [0, 1]
+    assert sorted(r["id"] for r in transitions.or_else(none, spare).collect()) == [10, 11, 12]
+
+
+def test_edges_are_inserted_by_pair(spark):
+    new = spark.createDataFrame([("a", "b", 2), ("a", "b", 1), ("a", "c", 3), ("a", None, 4)], "s string, t string, n int")
+    held = spark.createDataFrame([("a", "c"), ("b", "a")], "s string, t string")
+    assert [tuple(r) for r in merging.insert_absent(new, held, ["s", "t"], "n").collect()] == [("a", "b", 1)]
+
+
+def test_admission_of_odd_entries(spark):
+    rows = [("v1", 1, None, None, None), ("v1", 0, "let's play chess", 2000.0, None), ("v2", 2, "Cours de chimie", 0.0, "UCx"), ("v3", 3, "let s play", 1000.0, None), ("v4", 4, "x" * 600, 1000.0, "UCx"), (None, 5, "t", 1000.0, None)]
+    df = spark.createDataFrame(rows, "video_id string, arrival long, title string, duration double, channel_id string").withColumn("priority", F.lit(99))
+    got = {name: {r["video_id"]: r for r in admission.admitted(df, name).collect()} for name in admission.PROFILES}
+    assert set(got["related"]) == {"v1", "v2", "v3", "v4"} and got["related"]["v1"]["arrival"] == 1 and got["related"]["v1"]["duration"] is None
+    assert got["related"]["v2"]["priority"] == 8 and got["boot10m"]["v2"]["priority"] == 5
+    assert set(got["channel"]) == {"v1", "v4"} and got["channel"]["v1"]["duration"] == 0
+    assert {v: r["license_risk"] for v, r in got["safe"].items()} == {"v1": "yellow", "v2": "green", "v4": "green"}
+    assert set(got["boot1m"]) == set(got["aggressive"]) == set(got["mega"]) == {"v1", "v3", "v4"}
+    assert len(got["mega"]["v4"]["title"]) == 500 and got["mega"]["v4"]["priority"] == 8 and got["mega"]["v3"]["course"] == "search"
+    assert all(admission.admitted(df.limit(0), name).count() == 0 for name in admission.PROFILES)
 
 
 def test_running_over_a_hot_group(spark):
@@ -128,9 +182,14 @@ def test_stream_appends_each_video_once(spark, tmp_path):
         return sorted(r["video_id"] for r in spark.read.parquet(str(queue)).collect())
 
     assert run() == ["video000001", "video000002"]
+    (source / "playlist_x.json").write_text(line(4))
     (source / "two_videos.json").write_text("\n".join([line(2), line(3)]))
-    assert run() == ["video000001", "video000002", "video000003"]
-    assert run() == ["video000001", "video000002", "video000003"]
+    assert run() == ["video000001", "video000002", "video000003", "video000004"]
+    assert run() == ["video000001", "video000002", "video000003", "video000004"]
+    (queue / "part-broken.parquet").write_text("not a table")
+    (source / "three_videos.json").write_text(line(5))
+    with pytest.raises(StreamingQueryException):  # a queue that cannot be read is not an empty one
+        run()
 
 
 def test_late_counts_stream_and_batch_agree(spark, data, tmp_path):

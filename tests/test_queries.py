@@ -34,6 +34,7 @@ def test_query(spark, data, engine, name):
     assert sorted(other.columns) == columns
     at = [other.columns.index(c) for c in columns]
     assert got == sorted((tuple(plain(r[k]) for k in at) for r in other.fetchall()), key=repr)
+    assert got, "an empty result proves nothing"
 
 
 def test_the_core_does_not_import_the_llm_subpackage():

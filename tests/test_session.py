@@ -1,3 +1,5 @@
+import pytest
+
 from lectern import session
 
 
@@ -23,3 +25,16 @@ def test_cut_keeps_rows_and_uses_the_named_folder(spark, tmp_path):
     df = session.cut(spark.range(5))
     assert sorted(r["id"] for r in df.collect()) == list(range(5))
     assert spark.sparkContext.getCheckpointDir()
+
+
+def test_a_cluster_must_name_its_folder(monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(lambda: {})
+
+    class Session:
+        sparkContext = Context
+
+    with pytest.raises(ValueError):
+        session.ensure_checkpoint_dir(Session)
