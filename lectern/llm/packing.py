@@ -18,8 +18,8 @@ from ..session import cut
 
 #: Lengths further apart than this ratio never share a class.
 STEP = 1.01
-#: Ranks within a class are counted in so many parts, so a class that holds most items is shared out.
-PARTS = 64
+#: Ranks within a class are taken in parts of about so many items, so a class that holds most is shared out.
+PART_ROWS = 50_000
 
 
 def class_bounds(capacity: int, step: float = STEP) -> np.ndarray:
@@ -70,7 +70,9 @@ def pack(items: DataFrame, item: str, size: str, capacities: dict[int, int]) ->
     of size 0 in container 1. Each row is an item, also where an ``item`` value is repeated or null.
     Containers are numbered from 1 for each target. No items, no rows.
 
-    Only pieces (key, length) are shuffled, once, by the keys that rank them and join the offsets.
+    Only pieces (key, length) are shuffled, once, by the keys that rank them and join the offsets. A
+    class is ranked in as many parts as its size asks for; items without an id are told apart by
+    their place, so they share no part because of that.
     Class counts, bounded by the classes of the targets, go to the driver; the class table and the
     plan have that bound too and are broadcast.
     """
@@ -88,20 +90,24 @@ def pack(items: DataFrame, item: str, size: str, capacities: dict[int, int]) ->
         [(int(t), s, int(k)) for t, b in bounds.items() for s, k in enumerate(np.searchsorted(b, np.arange(int(b[-1]) + 1)))],
         "target_id int, piece_size long, __class int",
     )
-    part = F.pmod(F.xxhash64(item, "piece_no"), F.lit(PARTS)).cast("int").alias("__part")
-    placed = cut(pieces.join(F.broadcast(classes), ["target_id", "piece_size"]).select("*", part))
+    place = F.when(F.col(item).isNull(), F.monotonically_increasing_id()).otherwise(0)
+    placed = cut(pieces.join(F.broadcast(classes), ["target_id", "piece_size"]).withColumn("__place", place))
 
     solid = placed.where("piece_size > 0")
+    counts, parts = {t: np.zeros(len(b), np.int64) for t, b in bounds.items()}, []
+    for row in solid.groupBy("target_id", "__class").count().collect():
+        counts[row["target_id"]][row["__class"]] = row["count"]
+        parts.append((row["target_id"], row["__class"], -(-row["count"] // PART_ROWS)))
+    divided = F.broadcast(spark.createDataFrame(parts, "target_id int, __class int, __parts long"))
+    part = F.pmod(F.xxhash64(item, "piece_no", "piece_size", "__place"), F.col("__parts")).alias("__part")
+    solid = solid.join(divided, ["target_id", "__class"]).select(*solid.columns, part)
     by_part = solid.groupBy("target_id", "__class", "__part").count()
     earlier = Window.partitionBy("target_id", "__class").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_part.select("target_id", "__class", "__part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("__before"))
-    counts = {t: np.zeros(len(b), np.int64) for t, b in bounds.items()}
-    for row in by_part.groupBy("target_id", "__class").agg(F.sum("count").alias("n")).collect():
-        counts[row["target_id"]][row["__class"]] = row["n"]
     rows = [(int(t), *row) for t, b in bounds.items() for row in plan(int(capacities[t]), b, counts[t])]
     planned = spark.createDataFrame(rows, "target_id int, __class int, __from long, __to long, __each long, __first long")
 
-    order = Window.partitionBy("target_id", "__class", "__part").orderBy(item, "piece_no")
+    order = Window.partitionBy("target_id", "__class", "__part").orderBy(item, "piece_no", "piece_size", "__place")
     ranked = (
         solid.withColumn("__row", F.row_number().over(order))
         .join(offsets, ["target_id", "__class", "__part"])

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..session import spread, table
 from . import language, reading, samples, spam, subjects
-from .budget import token_budget
+from .budget import text_counts, token_budget
 from .near_duplicates import Duplicates
+from .oracle import ORACLE
 from .packing import pack
 from .tokens import with_counts, with_ids
 
@@ -57,6 +58,11 @@ def p2_composition(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def p3_multiplicities(spark: SparkSession, sf: str) -> DataFrame:
+    """Videos and distinct transcripts of each slice."""
+    return text_counts(table(spark, sf, "videos"), "video_id", "transcript", ["university", "lang", "license_risk"])
+
+
 def p3_token_budget(spark: SparkSession, sf: str) -> DataFrame:
     return token_budget(table(spark, sf, "videos"), "video_id", "transcript", ["university", "lang", "license_risk"])
 
@@ -109,6 +115,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_found": p2_found,
         "p2_composition": p2_composition,
         "p3_token_budget": p3_token_budget,
+        "p3_multiplicities": p3_multiplicities,
         "p4_found": p4_found,
         "p5_found": p5_found,
         "p5_segments": p5_segments,
@@ -119,4 +126,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,12 @@ from ..session import cut
 from .words import WordTable, slices, sums
 
 LANGUAGES = ("en", "de", "fr", "es")
+#: The number of any other language: its function words are those of all four, its centre that of all blocks
+#: unless it has enough of its own.
+OTHER = len(LANGUAGES)
 FEATURES = ("links", "marks", "separators", "digits", "repeated_pairs", "repeated_words", "entropy", "function_words", "commas")
-#: At most so many reviewed documents set the start and the directions.
-FIT_ROWS = 4000
+#: At most so many reviewed documents, and blocks of theirs, set the start and the directions.
+FIT_ROWS, FIT_BLOCKS = 4000, 400_000
 #: Words from which on a line is a block of its own; shorter lines of one kind are joined up to so many words.
 LONG_LINE, JOINED = 12, 40
 #: Squared distance from which on a block is an outlier.
@@ -50,7 +54,7 @@ FUNCTION_WORDS = {
 }
 
 _LINK = re.compile(r"(?:https?:|www\.|href|//)|[a-z0-9][a-z0-9-]*\.[a-z]{2,}(?:[/?)\]\"'>]|$)", re.IGNORECASE)
-_MARK = re.compile(r"^#\w|</?[a-z]+[ >]?|^tags?:|^\[.*\]\(|^size$", re.IGNORECASE)
+_MARK = re.compile(r"^#\w|</?[a-z]+[ >]?|^\[.*\]\(", re.IGNORECASE)
 _EDGE = re.compile(r"^\W+|\W+$")
 _SETS = [frozenset(FUNCTION_WORDS[c].split()) for c in LANGUAGES]
 
@@ -103,9 +107,10 @@ class Blocks:
         owner[block_of] = text_of
 
         hits = np.stack([np.bincount(text, f[:, 5 + k], n_text) for k in range(len(LANGUAGES))], 1)
-        said = np.array([LANGUAGES.index(c) if (c := (x or "").strip().lower()[:2]) in LANGUAGES else 0 for x in labels])
+        said = np.array([LANGUAGES.index(c) if (c := (x or "").strip().lower()[:2]) in LANGUAGES else OTHER for x in labels])
         language = np.where(hits.max(1) >= 3, hits.argmax(1), said)
-        common = f[np.arange(len(f)), 5 + language[text]] > 0
+        speech = np.column_stack([f[:, 5:], f[:, 5:].max(1)])
+        common = speech[np.arange(len(f)), language[text]] > 0
 
         word, fresh = rows, ~np.repeat(np.array(again, bool), sizes)
         key, inverse, count = np.unique((block << 32) | word, return_inverse=True, return_counts=True)
@@ -192,13 +197,13 @@ def _root(moments: np.ndarray, n: float, mean: np.ndarray) -> np.ndarray:
 def _concentrate(parts: list[tuple[int, float, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Centres and roots from sums per language; a language with few blocks takes those of all."""
     p = len(FEATURES)
-    n, total, moments = np.zeros(len(LANGUAGES)), np.zeros((len(LANGUAGES), p)), np.zeros((len(LANGUAGES), p, p))
+    n, total, moments = np.zeros(OTHER + 1), np.zeros((OTHER + 1, p)), np.zeros((OTHER + 1, p, p))
     for k, count, s, m in parts:
         n[k] += count
         total[k] += s
         moments[k] += m
-    centre, root = np.zeros((len(LANGUAGES), p)), np.zeros((len(LANGUAGES), p, p))
-    for k in range(len(LANGUAGES)):
+    centre, root = np.zeros((OTHER + 1, p)), np.zeros((OTHER + 1, p, p))
+    for k in range(OTHER + 1):
         own = n[k] >= 50
         c, s, m = (n[k], total[k], moments[k]) if own else (n.sum(), total.sum(0), moments.sum(0))
         centre[k] = s / max(c, 1)
@@ -208,7 +213,7 @@ def _concentrate(parts: list[tuple[int, float, np.ndarray, np.ndarray]]) -> tupl
 
 def _sums(language: np.ndarray, x: np.ndarray, keep: np.ndarray) -> list[tuple[int, float, np.ndarray, np.ndarray]]:
     out = []
-    for k in range(len(LANGUAGES)):
+    for k in range(OTHER + 1):
         own = x[keep & (language == k)]
         out.append((k, float(len(own)), own.sum(0), own.T @ own))
     return out
@@ -231,7 +236,7 @@ def _over_corpus(described: DataFrame, model: tuple[np.ndarray, np.ndarray]) ->
     shared = described.sparkSession.sparkContext.broadcast(model)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(LANGUAGES), 1 + p + p * p))
+        total = np.zeros((OTHER + 1, 1 + p + p * p))
         for batch in batches:
             x, language = _matrix(batch), batch.column("language").to_numpy()
             for k, n, s, m in _sums(language, x, _inner(shared.value, language, x)):
@@ -239,7 +244,7 @@ def _over_corpus(described: DataFrame, model: tuple[np.ndarray, np.ndarray]) ->
         k, i = np.divmod(np.arange(total.size), total.shape[1])
         yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(i, pa.int32()), pa.array(total.ravel())], ["language", "i", "v"])
 
-    held = np.zeros((len(LANGUAGES), 1 + p + p * p))
+    held = np.zeros((OTHER + 1, 1 + p + p * p))
     added = described.select("language", "x").mapInArrow(add, "language int, i int, v double").groupBy("language", "i").agg(F.sum("v").alias("v"))
     for row in added.collect():
         held[row["language"], row["i"]] = row["v"]
@@ -273,7 +278,11 @@ def fit_spam(described: DataFrame, reviews: DataFrame, limit: int = FIT_ROWS) ->
     ``doc_id``, set the start and the directions; centre and scatter are those of all blocks."""
     verdict = reviews.groupBy("doc_id").agg((F.count_if(F.col("verdict") == "spam") * 2 > F.count("verdict")).alias("spam"))
     chosen = verdict.where("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    pdf = described.join(F.broadcast(chosen), "doc_id").select("doc_id", "language", "words", "x", "spam").toPandas()
+    reviewed = described.join(F.broadcast(chosen), "doc_id")
+    sizes = reviewed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()  # ``limit`` rows
+    kept = [(r["doc_id"],) for r, n in zip(sizes, accumulate(r["n"] for r in sizes)) if n <= FIT_BLOCKS]
+    chosen = described.sparkSession.createDataFrame(kept, "doc_id long")
+    pdf = reviewed.join(F.broadcast(chosen), "doc_id").select("doc_id", "language", "words", "x", "spam").toPandas()
     x = np.array(pdf["x"].tolist(), float).reshape(-1, len(FEATURES))
     language, words = pdf["language"].to_numpy(np.int64), pdf["words"].to_numpy(float)
     spam = pdf["spam"].to_numpy(bool)

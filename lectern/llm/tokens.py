@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .automaton import DEFAULT_DIR, Automaton, load, splitter
+from .words import slices
 
 #: Pieces kept in one Python worker before the table is begun anew.
 CACHED_PIECES = 300_000
@@ -177,7 +178,7 @@ def with_ids(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared)
-        for batch in batches:
+        for batch in slices(batches):
             offsets, flat = encoder.ids(_text(batch.column("__text")))
             lists = pa.ListArray.from_arrays(
                 pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()), type=pa.list_(pa.field("element", pa.int32(), False))
@@ -198,17 +199,18 @@ def with_counts(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared)
-        for batch in batches:
+        for batch in slices(batches):
             numbers = encoder.counts(_text(batch.column("__text")))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(numbers, pa.int64())], [*keep, out])
 
     return source.mapInArrow(count, schema)
 
 
-def decode_udf(tokenizer: str = "byte_bpe_50k", directory: str = DEFAULT_DIR):
-    """A pandas UDF from lists of ids back to text."""
+def decode_udf(spark: SparkSession, tokenizer: str = "byte_bpe_50k", directory: str | None = None):
+    """A pandas UDF from lists of ids back to text; null for null. The labels of the arcs are broadcast."""
+    shared = spark.sparkContext.broadcast(load(tokenizer_dir(spark, directory), tokenizer))
+
     def decode(lists: pd.Series) -> pd.Series:
-        automaton = load(directory, tokenizer)
-        return lists.map(lambda ids: None if ids is None else automaton.decode(ids))
+        return lists.map(lambda ids: None if ids is None else shared.value.decode(ids))
 
     return F.pandas_udf(decode, "string")

@@ -11,15 +11,25 @@ import pyarrow as pa
 KEPT_WORDS = 400_000
 
 
-#: Rows worked on at once in a worker, so that its memory follows these and not Spark's batches.
-SLICE_ROWS = 1000
+#: Rows, and bytes as Arrow holds them, worked on at once in a worker, so that its memory follows these and
+#: not Spark's batches. A row of more bytes is worked on alone.
+SLICE_ROWS, SLICE_BYTES = 1000, 8 << 20
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in smaller ones."""
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
+            yield from _halved(batch.slice(start, rows), size)
+
+
+def _halved(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    if batch.num_rows < 2 or batch.nbytes <= size:
+        yield batch
+    else:
+        half = batch.num_rows // 2
+        yield from _halved(batch.slice(0, half), size)
+        yield from _halved(batch.slice(half), size)
 
 
 class _Numbers(dict):

@@ -63,3 +63,13 @@ def test_small_tables(spark, items):
 def test_repeated_items_are_packed_each(spark):
     got = packing.pack(spark.createDataFrame([(1, 6), (1, 6), (None, 6)], "doc long, n long"), "doc", "n", {1: 10}).collect()
     assert sorted(r["container_no"] for r in got) == [1, 2, 3]
+
+
+def test_a_class_is_ranked_in_parts_by_its_size(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PART_ROWS", 40)
+    items = [(i, 5) for i in range(500)] + [(None, 5)] * 500
+    got = packing.pack(spark.createDataFrame(items, "doc long, n long").repartition(6), "doc", "n", {1: 10}).collect()
+    load = {}
+    for r in got:
+        load[r["container_no"]] = load.get(r["container_no"], 0) + r["piece_size"]
+    assert len(got) == 1000 and sorted(load) == list(range(1, 501)) and set(load.values()) == {10}

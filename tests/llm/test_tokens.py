@@ -1,12 +1,14 @@
 import base64
+import hashlib
 import random
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from lectern.llm import automaton, budget, tokens
+from lectern.llm import automaton, budget, tokens, words
 
 DIRECTORY = automaton.DEFAULT_DIR
 ODD = [
@@ -77,7 +79,7 @@ def test_columns(spark, model):
     assert got == [(1, []), (2, []), (3, hello), (3, hello)]
     assert sorted(r["n_tokens"] for r in tokens.with_counts(df, "text", ["doc_id"]).collect()) == [0, 0, len(hello), len(hello)]
     assert tokens.with_ids(df.limit(0), "text", ["doc_id"]).collect() == []
-    back = tokens.with_ids(df, "text", ["doc_id"]).select(tokens.decode_udf()("ids").alias("t"))
+    back = tokens.with_ids(df, "text", ["doc_id"]).select(tokens.decode_udf(spark)("ids").alias("t"))
     assert sorted(r["t"] for r in back.collect()) == ["", "", "hello world", "hello world"]
 
 
@@ -88,3 +90,18 @@ def test_budget(spark, model):
     n = len(model.encode("one two"))
     assert got == {("u", "en"): (2, 2 * n), (None, "en"): (2, 0), ("", None): (1, 1), ("w", "en"): (2, n)}
     assert budget.token_budget(df.limit(0), "id", "t", ["u", "lang"]).collect() == []
+
+
+def test_slices_are_bounded_in_rows_and_bytes():
+    batch = pa.RecordBatch.from_pydict({"t": ["x" * 100] * 50 + ["y" * 10_000] + ["z"] * 9})
+    got = list(words.slices(iter([batch]), rows=20, size=2000))
+    assert pa.Table.from_batches(got).to_pydict() == batch.to_pydict()
+    assert all(b.num_rows <= 20 and (b.nbytes <= 2000 or b.num_rows == 1) for b in got)
+    assert list(words.slices(iter([batch.slice(0, 0)]))) == []
+
+
+def test_budget_of_a_text_that_looks_like_a_hash(spark):
+    rows = [("a", "u", None), ("b", "u", hashlib.md5(b"u").hexdigest()), ("c", "v", None)]
+    df = spark.createDataFrame(rows, "video_id string, university string, transcript string")
+    got = {r["university"]: (r["n_videos"], r["n_tokens"]) for r in budget.token_budget(df, "video_id", "transcript", ["university"]).collect()}
+    assert got["v"] == (1, 0) and got["u"][0] == 2 and got["u"][1] > 0
