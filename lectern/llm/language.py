@@ -24,7 +24,7 @@ from .words import WordTable, slices, sums
 ORDERS = (1, 2, 3, 4)
 BUCKETS = 1 << 15
 #: At most so many labelled rows are fitted on.
-FIT_ROWS = 6000
+FIT_ROWS = 4000
 ROUNDS = 3
 #: A text of fewer words is not usable; shorter segments and titles are not counted.
 USABLE_WORDS, SEGMENT_WORDS, TITLE_WORDS = 50, 8, 6
