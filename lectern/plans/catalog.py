@@ -298,9 +298,9 @@ def insert_new(spark, sf):
 
 @query
 def edges_insert(spark, sf):
-    """Links found after the first of the month that are not among the earlier ones, each pair once."""
+    """Links found from a given time on that are not among the earlier ones, each pair once."""
     found = table(spark, sf, "channel_discoveries").select("id", "from_channel", "to_channel", "discovered_at")
-    early = F.col("discovered_at") < F.lit("2026-01-05 12:00:00").cast("timestamp_ntz")
+    early = F.col("discovered_at") < F.lit("2026-01-05 01:00:00").cast("timestamp_ntz")
     return merging.insert_absent(found.where(~early).drop("discovered_at"), found.where(early), ["from_channel", "to_channel"], "id")
 
 

@@ -196,8 +196,8 @@ ORACLE: dict[str, str] = {
         FROM valid v WHERE NOT EXISTS (SELECT 1 FROM videos q WHERE q.video_id = v.video_id AND q.status = 'completed'))
       SELECT video_id, arrival, title, duration FROM r WHERE rn = 1""",
     "edges_insert": """SELECT from_channel, to_channel, min(id) AS id FROM channel_discoveries d
-      WHERE from_channel IS NOT NULL AND to_channel IS NOT NULL AND NOT coalesce(discovered_at < TIMESTAMP '2026-01-05 12:00:00', false)
-        AND NOT EXISTS (SELECT 1 FROM channel_discoveries e WHERE e.from_channel = d.from_channel AND e.to_channel = d.to_channel AND e.discovered_at < TIMESTAMP '2026-01-05 12:00:00')
+      WHERE from_channel IS NOT NULL AND to_channel IS NOT NULL AND NOT coalesce(discovered_at < TIMESTAMP '2026-01-05 01:00:00', false)
+        AND NOT EXISTS (SELECT 1 FROM channel_discoveries e WHERE e.from_channel = d.from_channel AND e.to_channel = d.to_channel AND e.discovered_at < TIMESTAMP '2026-01-05 01:00:00')
       GROUP BY 1, 2""",
     "channel_extract": f"""WITH {ENTRIES} SELECT DISTINCT channel_id FROM entries e WHERE channel_id LIKE 'UC%'
       AND NOT EXISTS (SELECT 1 FROM channels c WHERE c.channel_id = e.channel_id AND c.status = 'crawled')""",
