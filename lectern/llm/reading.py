@@ -184,31 +184,44 @@ class ReadingModel:
         return (1 + ((z @ self.weights)[:, None] > self.edges).sum(1)).astype(np.int32)
 
 
-def ordinal(z: np.ndarray, level: np.ndarray, penalty: float = PENALTY, steps: int = 1500) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds of a proportional-odds model by Adam on all rows; ``level`` from 1."""
-    k = len(LEVELS)
-    w, first, gaps = np.zeros(z.shape[1]), np.array([-1.0]), np.zeros(k - 2)
-    held = [np.zeros_like(v) for v in (w, first, gaps)], [np.zeros_like(v) for v in (w, first, gaps)]
+def ordinal(z: np.ndarray, level: np.ndarray, penalty: float = PENALTY, steps: int = 60) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and thresholds of a proportional-odds model on all rows; ``level`` from 1. Damped Newton steps
+    on the mean log-likelihood less the L2 penalty of the weights."""
+    k, p = len(LEVELS), z.shape[1]
     hot = np.eye(k)[level - 1]
     sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -40, 40)))
-    for step in range(1, steps + 1):
-        edges = np.concatenate([first, first + np.cumsum(np.exp(gaps))])
-        below = sigmoid(edges[None, :] - (z @ w)[:, None])
-        slope = below * (1 - below)
-        p = np.diff(np.concatenate([np.zeros((len(z), 1)), below, np.ones((len(z), 1))], 1), axis=1)
-        pull = hot / np.maximum(p, 1e-9) / len(z)
-        by_edge = slope * (pull[:, :-1] - pull[:, 1:])  # rise of the likelihood with each threshold
-        g_edge = by_edge.sum(0)
-        grads = (
-            z.T @ by_edge.sum(1) + penalty * w,
-            np.array([-g_edge.sum()]),
-            -np.array([g_edge[j + 1 :].sum() for j in range(k - 2)]) * np.exp(gaps),
-        )
-        for v, g, m, s in zip((w, first, gaps), grads, *held):
-            m += 0.1 * (g - m)
-            s += 0.001 * (g * g - s)
-            v -= 0.03 * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.999**step)) + 1e-9)
-    return w, np.concatenate([first, first + np.cumsum(np.exp(gaps))])
+
+    def slope(x: np.ndarray) -> tuple[float, np.ndarray]:
+        """The loss and its gradient at weights, first threshold and logarithms of the gaps between thresholds."""
+        w, first, gaps = x[:p], x[p], np.exp(np.clip(x[p + 1 :], -20, 20))
+        below = sigmoid(np.concatenate([[first], first + np.cumsum(gaps)])[None, :] - (z @ w)[:, None])
+        odds = np.diff(np.concatenate([np.zeros((len(z), 1)), below, np.ones((len(z), 1))], 1), axis=1)
+        own = np.maximum((odds * hot).sum(1), 1e-12)
+        pull = hot / own[:, None] / len(z)
+        by_edge = below * (1 - below) * (pull[:, :-1] - pull[:, 1:])  # rise of the likelihood with each threshold
+        edge = by_edge.sum(0)
+        later = np.array([edge[j + 1 :].sum() for j in range(k - 2)])
+        return -np.log(own).mean() + penalty / 2 * w @ w, np.concatenate([z.T @ by_edge.sum(1) + penalty * w, [-edge.sum()], -later * gaps])
+
+    x, damping = np.concatenate([np.zeros(p), [-1.0], np.zeros(k - 2)]), 1e-3
+    loss, g = slope(x)
+    for _ in range(steps):
+        curve = np.stack([(slope(x + 1e-5 * unit)[1] - g) / 1e-5 for unit in np.eye(len(x))])
+        curve = (curve + curve.T) / 2
+        while damping < 1e6:
+            values, vectors = np.linalg.eigh(curve)
+            step = vectors @ ((vectors.T @ g) / (np.abs(values) + damping))
+            lower, there = slope(x - step)
+            if lower <= loss:
+                break
+            damping *= 4
+        else:
+            break
+        done = loss - lower < 1e-10
+        x, loss, g, damping = x - step, lower, there, max(damping / 5, 1e-9)
+        if done:
+            break
+    return x[:p], np.concatenate([[x[p]], x[p] + np.cumsum(np.exp(x[p + 1 :]))])
 
 
 def fit_levels(texts: list[str], levels: np.ndarray, languages: LanguageModel, counts: np.ndarray) -> ReadingModel:

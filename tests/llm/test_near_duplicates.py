@@ -58,17 +58,21 @@ def test_large_nodes(spark, monkeypatch):
 def test_large_nodes_that_fall_apart_branch_on(spark, monkeypatch):
     monkeypatch.setattr(nd, "LEAF", 4)
     monkeypatch.setattr(nd, "DENSE", 1.1)  # no node counts as dense, so each branches until its tokens are spent
+    monkeypatch.setattr(nd, "BRANCHES", 19)
     rows = corpus(3, 6, 12)
     got, want = {(r[0], r[1]) for r in nd.Duplicates(frame(spark, rows), LIKENESS).pairs(None).collect()}, brute(rows)
     assert got <= want and len(got) >= 0.95 * len(want)
 
 
-def test_a_dense_family_of_thousands(spark):
-    """5,000 different texts that are all alike: what is compared, and checked, stays near its 12.5 million pairs."""
+def family(spark, n):
     base = [f"w{i}" for i in range(120)]
-    rows = [(f"v{m:05d}", "T", " ".join(base + [f"own{m}"])) for m in range(5000)]
-    got = nd.Duplicates(frame(spark, rows), LIKENESS).class_pairs()
-    assert got.count() == 5000 * 4999 // 2
+    return frame(spark, [(f"v{m:05d}", "T", " ".join(base + [f"own{m}"])) for m in range(n)])
+
+
+def test_a_dense_family_of_thousands(spark):
+    """Different texts that are all alike: what is compared, and checked, stays near the number of their pairs."""
+    assert nd.Duplicates(family(spark, 5000), LIKENESS).candidates().count() == 5000 * 4999 // 2
+    assert nd.Duplicates(family(spark, 800), LIKENESS).class_pairs().count() == 800 * 799 // 2
 
 
 def test_edge_cases(spark):
