@@ -20,9 +20,9 @@ def clean_edges(discoveries: DataFrame) -> DataFrame:
 
 
 def one_round(edges: DataFrame, frontier: DataFrame, seen: DataFrame) -> DataFrame:
-    """``node``: targets of the frontier not seen before. The frontier is made distinct first, so a
-    much-linked node is one row."""
-    reached = edges.join(frontier.select(F.col("node").alias("source")).distinct(), "source", "left_semi")
+    """``node``: targets of the frontier not seen before, each once. A semi-join takes an edge once, however
+    often its source stands in the frontier."""
+    reached = edges.join(frontier.select(F.col("node").alias("source")), "source", "left_semi")
     return reached.select(F.col("target").alias("node")).distinct().join(seen.select("node"), "node", "left_anti")
 
 
