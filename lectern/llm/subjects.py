@@ -28,9 +28,9 @@ FIT_ROWS = 6000
 UPDATES = 40
 #: A subject starts at terms that are so many times as frequent in its documents as in all.
 MARKED = 1.5
-#: So much of the labelled documents that have a term must be of its subject, next to a few more
-#: documents that are of none, so that a term seen two or three times seeds nothing.
-TYPICAL, UNSEEN = 0.35, 4
+#: So much of the labelled documents that have a term must be of its subject, where that many further
+#: documents count as having the term and no subject.
+TYPICAL, UNSEEN = 0.45, 1
 #: Updates of the memberships of a sentence or title against the fixed factor of terms.
 FOLDS = 8
 #: Counts added to the background of every term, so that a term seen once says nothing.
