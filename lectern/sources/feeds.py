@@ -52,11 +52,15 @@ def response_items(responses: DataFrame) -> DataFrame:
 
 def scanned_licences(responses: DataFrame) -> DataFrame:
     """``request_id, video_id, licence`` for every requested id of a readable response; an id the
-    response lacks is 'unavailable'. Of an id repeated in one response the smallest licence counts."""
+    response lacks is 'unavailable'. Of an id repeated in one response the smallest licence counts.
+
+    What was asked and what was answered come from one parse of a response and meet in one aggregation."""
     readable = _parsed(responses.where("body is not null"), "body", RESPONSE).where("__r.items is not null")
-    asked = readable.select("request_id", F.explode("requested_ids").alias("video_id")).where("video_id is not null").distinct()
-    items = response_items(responses).groupBy("request_id", "video_id").agg(F.min("licence").alias("licence"))
-    return asked.join(items, ["request_id", "video_id"], "left").withColumn("licence", F.coalesce("licence", F.lit("unavailable")))
+    asked = F.transform(F.coalesce("requested_ids", F.array().cast("array<string>")), lambda v: F.struct(v.alias("video_id"), F.lit(None).cast("string").alias("licence"), F.lit(True).alias("asked")))
+    told = F.transform("__r.items", lambda i: F.struct(i["id"].alias("video_id"), F.coalesce(i["status"]["license"], F.lit("unknown")).alias("licence"), F.lit(False).alias("asked")))
+    both = readable.select("request_id", F.explode(F.concat(asked, told)).alias("e")).select("request_id", "e.*").where("video_id is not null")
+    found = both.groupBy("request_id", "video_id").agg(F.min("licence").alias("licence"), F.bool_or("asked").alias("asked")).where("asked")
+    return found.select("request_id", "video_id", F.coalesce("licence", F.lit("unavailable")).alias("licence"))
 
 
 def visited(spark: SparkSession, path: str) -> DataFrame:
