@@ -31,6 +31,9 @@ MARKED = 1.5
 #: So much of the labelled documents that have a term must be of its subject, where that many further
 #: documents count as having the term and no subject.
 TYPICAL, UNSEEN = 0.45, 1
+#: So much of the labelled documents of a subject must have a term, as a few labels are wrong, and what stands
+#: in no other document than a wrongly labelled one says nothing of the subject.
+HELD = 0.05
 #: Updates of the memberships of a sentence or title against the fixed factor of terms.
 FOLDS = 8
 #: Counts added to the background of every term, so that a term seen once says nothing.
@@ -175,7 +178,9 @@ def fit_subjects(texts: list[str], labels: list[set[str]], subjects: list[str],
         labelled = here & known[doc]
         holders = np.bincount((rest % width)[labelled], minlength=width)
         of = np.stack([np.bincount((rest % width)[labelled], truth[doc[labelled], j], width) for j in range(n_sub)])
-        held = factor(doc[here], (rest % width)[here], count[here].astype(float), seeded, of >= TYPICAL * (holders + UNSEEN))
+        of_subject = truth[np.unique(doc[labelled])].sum(0)[:, None]
+        typical = (of > 0) & (of >= TYPICAL * (holders + UNSEEN)) & (of >= HELD * of_subject)
+        held = factor(doc[here], (rest % width)[here], count[here].astype(float), seeded, typical)
         held[n_sub] += RARE
         each = held / np.maximum(held.sum(1, keepdims=True), 1e-12)
         weights[np.arange(width) * n_lang + k] = each.T
